@@ -51,7 +51,7 @@ def curation_prompt(image_id: Column, present: Column, box_count: Column) -> Col
 
 def content_b64(content: Column) -> Column:
     """Base64 on one line; Spark's own encoder breaks lines every 76 characters."""
-    return F.translate(F.base64(content), "\r\n", "")
+    return F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))
 
 
 def cache_key(b64: Column, prompt: Column) -> Column:

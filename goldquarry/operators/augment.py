@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from goldquarry import fixed_values as fv
 from goldquarry.functions.labels import recode
 from goldquarry.functions.text import cache_key, content_b64
-from goldquarry.operators.joins import salted_join, split_cached
+from goldquarry.operators.joins import salted_join, small_side, split_cached
 from goldquarry.operators.quality import first_n
 
 
@@ -102,17 +102,30 @@ def variant_candidates(
     """One prompted variant row per source row and prompt, failed ones included.
 
     `contents` (image_path, content) gives the bytes the cache key is made of; without it the
-    path stands for the content. A candidate is synthetic exactly if its edit succeeded.
+    path stands for the content. Contents are read where they lie: only digests, one per
+    prompt, move. `store` writes a table and returns the written one; it is applied to the
+    digests and to the new outcomes, so that neither is computed twice. A candidate is
+    synthetic exactly if its edit succeeded.
     """
+    prompts = fv.VARIANT_PROMPTS if prompts is None else prompts
     requests = variant_requests(df, prompts, max_rows)
     if contents is None:
         keyed = requests.withColumn("key", cache_key(F.col("image_path"), F.col("prompt")))
     else:
-        # Only the digest of a content moves, one per prompt, never the bytes.
-        prompt_list = list((fv.VARIANT_PROMPTS if prompts is None else prompts).values())
+        read = contents
+        if max_rows:
+            paths = small_side(first_n(df, max_rows).select("image_path"), max_rows)
+            read = contents.join(paths, "image_path", "left_semi")
         b64 = content_b64(F.col("content"))
-        keys = F.array(*[F.struct(F.lit(p).alias("prompt"), cache_key(b64, F.lit(p)).alias("key")) for p in prompt_list])
-        digests = contents.select("image_path", F.explode(keys).alias("k")).select("image_path", "k.*")
+        keys = [
+            F.struct(F.lit(p).alias("prompt"), cache_key(b64, F.lit(p)).alias("key"))
+            for p in prompts.values()
+        ]
+        # The keys of a content are projected together, so it is encoded once, and then unnested.
+        digests = read.select("image_path", F.array(*keys).alias("k")).select(
+            "image_path", F.inline("k")
+        )
+        digests = store(digests)
         keyed = requests.join(digests, ["image_path", "prompt"], "left")
     outcomes, _ = edit_outcomes(
         keyed.where(F.col("key").isNotNull()).select("key", "image_id", "image_path", "prompt"),

@@ -163,7 +163,7 @@ def build_query_set(
     chosen = _template_counts(df, templates, n_queries, n_samples).select("chosen").scalar()
     entries = [
         F.when(
-            F.array_contains(chosen, F.lit(query_id)),
+            F.array_contains("_chosen", F.lit(query_id)),
             F.struct(
                 F.lit(query_id).alias("query_id"),
                 F.lit(query_text).alias("query_text"),
@@ -173,7 +173,8 @@ def build_query_set(
         for query_id, query_text, values in templates
     ]
     rows = (
-        df.select(
+        df.withColumn("_chosen", chosen)
+        .select(
             F.col(key).alias("image_id"), F.explode(F.array_compact(F.array(*entries))).alias("e")
         )
         .select("image_id", "e.*")

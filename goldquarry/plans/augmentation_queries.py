@@ -10,6 +10,7 @@ from goldquarry.plans import frames as fr
 from goldquarry.plans import oracle_views as ov
 from goldquarry.plans.registry import query
 from goldquarry.plans.responders import edit_by_digest
+from goldquarry.sources.stages import store_stage
 
 PROMPTS_SQL = "(VALUES " + ", ".join(f"('{k}', '{p}')" for k, p in fv.VARIANT_PROMPTS.items()) + ") p(label, prompt)"
 
@@ -22,26 +23,31 @@ def contents(spark, sf):
     )
 
 
-def blur_rows(spark, sf):
+def stored_golden(spark, sf):
+    """The golden set as the stored table that the augmentation steps share."""
+    return store_stage(fr.golden(spark, sf), "golden")
+
+
+def blur_rows(golden):
     return augment.patch_labels(
-        augment.blur_candidates(augment.positives(fr.golden(spark, sf)), f"{fr.OUT_DIR}/blur")
+        augment.blur_candidates(augment.positives(golden), f"{fr.OUT_DIR}/blur")
     )
 
 
-def variant_rows(spark, sf):
+def variant_rows(golden, spark, sf):
     rows = augment.variant_candidates(
-        augment.positives(fr.golden(spark, sf)),
+        augment.positives(golden),
         edit_by_digest,
         f"{fr.OUT_DIR}/weather",
         contents=contents(spark, sf),
+        store=lambda new: store_stage(new, "variants"),
     )
     return augment.patch_labels(rows)
 
 
 def extended(spark, sf):
-    return augment.extend_eval_set(
-        fr.golden(spark, sf), blur_rows(spark, sf), variant_rows(spark, sf)
-    )
+    golden = stored_golden(spark, sf)
+    return augment.extend_eval_set(golden, blur_rows(golden), variant_rows(golden, spark, sf))
 
 
 KEY_SQL = "substr(sha256(base64(encode(d.text)) || '|' || p.prompt), 1, 16)"
@@ -90,7 +96,7 @@ def _shown(df, *more):
 
 @query("blur_candidates", f"WITH {CANDIDATES} SELECT {SHOWN_SQL} FROM blur")
 def blur_candidates(spark, sf):
-    return _shown(blur_rows(spark, sf))
+    return _shown(blur_rows(fr.golden(spark, sf)))
 
 
 @query(
@@ -98,7 +104,7 @@ def blur_candidates(spark, sf):
     f"WITH {CANDIDATES} SELECT {SHOWN_SQL}, augment_label, openai_augment_status FROM variants",
 )
 def variant_candidates(spark, sf):
-    return _shown(variant_rows(spark, sf), "augment_label", "openai_augment_status")
+    return _shown(variant_rows(stored_golden(spark, sf), spark, sf), "augment_label", "openai_augment_status")
 
 
 @query(
@@ -109,7 +115,7 @@ def variant_candidates(spark, sf):
     FROM variants GROUP BY ROLLUP (augment_label)""",
 )
 def augment_success(spark, sf):
-    return augment.augment_success(variant_rows(spark, sf))
+    return augment.augment_success(variant_rows(stored_golden(spark, sf), spark, sf))
 
 
 @query("extended_set", f"WITH {CANDIDATES} SELECT {SHOWN_SQL}, augment_label FROM extended")
@@ -125,8 +131,9 @@ def extended_set(spark, sf):
     FROM pairs p LEFT JOIN golden g ON p.source_image_id = g.image_id""",
 )
 def lineage_pairs(spark, sf):
-    candidates = augment.candidate_union(blur_rows(spark, sf), variant_rows(spark, sf))
-    return augment.lineage(candidates, fr.golden(spark, sf))
+    golden = stored_golden(spark, sf)
+    candidates = augment.candidate_union(blur_rows(golden), variant_rows(golden, spark, sf))
+    return augment.lineage(candidates, golden)
 
 
 @query(

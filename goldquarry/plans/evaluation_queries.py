@@ -9,6 +9,7 @@ from goldquarry.plans import oracle_views as ov
 from goldquarry.plans.augmentation_queries import CANDIDATES, extended
 from goldquarry.plans.registry import query
 from goldquarry.plans.responders import annotate_by_digest, grade_by_digest
+from goldquarry.sources.stages import store_stage
 
 MODELS = ["model-a", "model-b"]
 N_QUERIES = 20
@@ -152,11 +153,22 @@ def annotate_job(spark, sf):
     )
 
 
-def scored(spark, sf, pool):
-    """(query set, results) of both models over a pool of items."""
-    chosen = sampling.build_query_set(pool, n_queries=N_QUERIES)
-    bound = sampling.query_set_bound(N_QUERIES)
-    return chosen, inference.score_frames(chosen, pool, grade_by_digest, MODELS, max_rows=bound)
+def scored(pool):
+    """(query set, results) of both models over a pool of items; query set and answers are stored."""
+    chosen = store_stage(sampling.build_query_set(pool, n_queries=N_QUERIES), "query_set")
+    results = inference.score_frames(
+        chosen,
+        pool,
+        grade_by_digest,
+        MODELS,
+        max_rows=sampling.query_set_bound(N_QUERIES),
+        store=lambda raw: store_stage(raw, "answers"),
+    )
+    return chosen, results
+
+
+def stored_extended(spark, sf):
+    return store_stage(extended(spark, sf), "extended")
 
 
 def _scores_sql(source: str) -> str:
@@ -202,7 +214,7 @@ def score_frames(spark, sf):
     f"WITH {EXTENDED_SCORES} SELECT {RESULT_COLUMNS}, retrieved = is_positive AS correct FROM results",
 )
 def model_sweep(spark, sf):
-    _, results = scored(spark, sf, extended(spark, sf))
+    _, results = scored(stored_extended(spark, sf))
     return results.select(*RESULT_COLUMNS.split(", "), "correct")
 
 
@@ -229,7 +241,7 @@ metrics AS (
 
 @query("query_metrics", f"WITH {FRAME_SCORES}, {METRICS_SQL} SELECT * FROM metrics")
 def query_metrics(spark, sf):
-    chosen, results = scored(spark, sf, fr.frames(spark, sf))
+    chosen, results = scored(fr.frames(spark, sf))
     return evaluate.query_metrics(results, chosen, MODELS)
 
 
@@ -242,7 +254,7 @@ def query_metrics(spark, sf):
     FROM metrics GROUP BY model""",
 )
 def run_summary(spark, sf):
-    chosen, results = scored(spark, sf, fr.frames(spark, sf))
+    chosen, results = scored(fr.frames(spark, sf))
     summary = evaluate.run_summary(evaluate.query_metrics(results, chosen, MODELS))
     line = lambda q: F.concat(
         q["query_id"], F.lit(":"), F.concat_ws("/", *[q[c].cast("string") for c in ("tp", "fp", "fn", "tn")])
@@ -251,8 +263,8 @@ def run_summary(spark, sf):
 
 
 def detailed(spark, sf):
-    pool = extended(spark, sf)
-    chosen, results = scored(spark, sf, pool)
+    pool = stored_extended(spark, sf)
+    chosen, results = scored(pool)
     bound = sampling.query_set_bound(N_QUERIES) * len(MODELS)
     return evaluate.detailed_eval(results, chosen, pool, max_rows=bound)
 
