@@ -128,11 +128,11 @@ def grid_sharpness(grid: Column, width: int, height: int) -> Column:
         laplacian,
         F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
         lambda acc, v: F.struct((acc["s"] + v).alias("s"), (acc["q"] + v * v).alias("q")),
-        lambda acc: F.greatest(
-            acc["q"] / count - (acc["s"] / count) * (acc["s"] / count), F.lit(0.0)
-        ),
     )
-    return moments
+    mean = moments["s"] / count
+    variance = moments["q"] / count - mean * mean
+    # A missing level makes the result null; greatest() alone would turn that into 0.
+    return F.when(variance.isNotNull(), F.greatest(variance, F.lit(0.0)))
 
 
 def grid_stats(df: DataFrame, grid: Column, width: int, height: int) -> DataFrame:

@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from goldquarry.operators import augment, coverage, evaluate, inference, sampling
+from goldquarry import fixed_values as fv
+from goldquarry.operators import augment, coverage, curate as edits, evaluate, inference, sampling
 from goldquarry.operators.pixels import image_stats
 from goldquarry.operators.quality import describe, histogram, kept_dropped, quality_filter, quality_predicate
 from goldquarry.params import JobParams
@@ -174,9 +175,25 @@ def evaluation_matrices(spark: SparkSession, params: JobParams) -> dict[str, Dat
     detailed = evaluate.with_condition(_stored(spark, params, "eval"))
     by_query = evaluate.metrics_by(detailed, ["model", "query_text"])
     by_condition = evaluate.metrics_by(
-        detailed, ["model", "condition"], min_support=evaluate.fv.CONDITION_MIN_SUPPORT
+        detailed, ["model", "condition"], min_support=fv.CONDITION_MIN_SUPPORT
     )
     return {
         "by_query": evaluate.metric_matrix(by_query, "query_text", models),
         "by_condition": evaluate.metric_matrix(by_condition, "condition", models),
     }
+
+
+def edit_dataset(
+    spark: SparkSession, name: str, forms: DataFrame, params: JobParams, last_by: str | None = None
+) -> DataFrame:
+    """Store a new version of an artifact with label edits; returns the edits that name no row.
+
+    Forms hold string fields; for the evaluation they also name model and query_id.
+    """
+    if name == "raw":
+        raise ValueError("the raw dataset is read-only")
+    df = _stored(spark, params, name)
+    keys = ("model", "query_id", "image_id") if name == "eval" else ("image_id",)
+    parsed = edits.parse_edits(forms)
+    write_dataset(edits.apply_edits(df, parsed, keys, last_by), params.artifact_dir, name)
+    return edits.unmatched_edits(df, parsed, keys)

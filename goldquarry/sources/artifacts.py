@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from goldquarry import fixed_values as fv
 from goldquarry.schema import ARTIFACT_SCHEMAS
-from goldquarry.sources.paths import path_exists
+from goldquarry.sources.paths import child_names, path_exists
 
 BOOL_COLUMNS = ("drone_present", "is_synthetic")
 
@@ -63,21 +63,29 @@ def artifact_path(root: str, name: str) -> str:
 
 
 def write_dataset(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> None:
-    """Store a named artifact as Parquet (the primary form) or JSON lines."""
+    """Store a new version of a named artifact as Parquet (the primary form) or JSON lines.
+
+    Earlier versions stay, so a job may read an artifact while it writes the next version, and
+    a write that fails half-way leaves the last complete version in place.
+    """
     path = artifact_path(root, name)
+    taken = [int(v.partition(".")[0]) for v in child_names(df.sparkSession, path)]
+    version = f"{path}/{max(taken, default=0) + 1:06d}"
     if fmt == "json":
-        write_jsonl(df, f"{path}.jsonl")
+        write_jsonl(df, f"{version}.jsonl")
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(f"{version}.parquet")
 
 
 def load_dataset(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """A named artifact, Parquet before JSON lines; None if it was not written yet."""
+    """The last complete version of a named artifact; None if there is none."""
     path = artifact_path(root, name)
-    if path_exists(spark, path):
-        return spark.read.schema(ARTIFACT_SCHEMAS[name]).parquet(path)
-    if path_exists(spark, f"{path}.jsonl"):
-        return read_jsonl(spark, f"{path}.jsonl", ARTIFACT_SCHEMAS[name])
+    for version in reversed(child_names(spark, path)):
+        if not path_exists(spark, f"{path}/{version}/_SUCCESS"):
+            continue
+        if version.endswith(".jsonl"):
+            return read_jsonl(spark, f"{path}/{version}", ARTIFACT_SCHEMAS[name])
+        return spark.read.schema(ARTIFACT_SCHEMAS[name]).parquet(f"{path}/{version}")
     return None
 
 

@@ -3,6 +3,19 @@
 from pyspark.sql import SparkSession
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jvm_path = _file_system(spark, path)
+    return fs.exists(jvm_path)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, sorted; empty if it does not exist."""
+    fs, jvm_path = _file_system(spark, path)
+    if not fs.exists(jvm_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(jvm_path))

@@ -1,0 +1,105 @@
+"""Coverage counts, gaps, cross-tabs and facets."""
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from goldquarry.operators import coverage
+
+DDL = "drone_present boolean, drone_visibility string, background string, possible_confusers array<string>"
+DATA = [
+    (True, "large", "sky", ["bird"]),
+    (True, "large", "sky", ["aircraft", "bird"]),
+    (False, None, None, []),
+    (None, None, "All", None),
+    (True, "small", "sky", ["none"]),
+    (True, "small", "trees", [None]),
+]
+
+
+def table(spark):
+    return spark.createDataFrame(DATA, DDL)
+
+
+def test_labels_of_nulls_and_arrays(spark):
+    got = {(d, v): n for d, v, n, _ in rows(coverage.coverage(table(spark)))}
+    assert got == {
+        ("drone_present", "yes"): 4, ("drone_present", "no"): 1, ("drone_present", "uncertain"): 1,
+        ("drone_visibility", "large"): 2, ("drone_visibility", "small"): 2, ("drone_visibility", "unknown"): 2,
+        ("background", "sky"): 3, ("background", "unknown"): 1, ("background", "All"): 1, ("background", "trees"): 1,
+        ("possible_confusers", "bird"): 2, ("possible_confusers", "aircraft"): 1,
+        ("possible_confusers", "none"): 3, ("possible_confusers", "unknown"): 1,
+    }
+
+
+def test_gap_is_strictly_below(spark):
+    counts = coverage.coverage(table(spark), ["drone_visibility", "nothing"], min_count=2)
+    assert coverage.gaps(counts, 2).count() == 0 and counts.where("has_gap").count() == 0
+    assert coverage.gaps(counts, 3).count() == 3
+    assert coverage.coverage(table(spark), ["nothing"]).count() == 0
+
+
+def test_domain_reports_values_never_seen(spark):
+    domain = spark.createDataFrame([("drone_visibility", "medium"), ("drone_visibility", "large")], "dimension string, value string")
+    counts = coverage.coverage(table(spark), ["drone_visibility"], 1, domain)
+    assert rows(counts.where("has_gap"), "value", "count") == [("medium", 0)]
+    assert counts.count() == 4
+
+
+def test_margins_stay_apart_from_a_value_named_all(spark):
+    tab = coverage.crosstabs(table(spark), [("drone_present", "background", False)])
+    got = {(r.left_value, r.right_value, r.left_margin, r.right_margin): r["count"] for r in tab.collect()}
+    assert got[("uncertain", "All", False, False)] == 1
+    assert got[("uncertain", "All", False, True)] == 1
+    assert got[("All", "All", True, False)] == 1
+    assert got[("All", "All", True, True)] == len(DATA)
+    assert got[("no", "None", False, False)] == 1
+
+
+def test_margin_totals_equal_the_rows(spark):
+    tab = coverage.crosstabs(table(spark))
+    grand = {r.tab: r["count"] for r in tab.where("left_margin and right_margin").collect()}
+    assert grand == {
+        "drone_present_x_drone_visibility": 4,
+        "drone_present_x_possible_confusers": 6,
+    }
+    for margin, other in (("left_margin", "right_margin"), ("right_margin", "left_margin")):
+        sums = tab.where(f"{margin} and not {other}").groupBy("tab").agg(F.sum("count").alias("n"))
+        assert {r.tab: r.n for r in sums.collect()} == grand
+
+
+def test_arrays_join_in_crosstabs(spark):
+    got = rows(coverage.crosstab(table(spark), "drone_present", "possible_confusers", margins=False), "right_value", "count")
+    assert ("aircraft, bird", 1) in got and ("none", 1) in got and ("bird", 1) in got
+    assert coverage.crosstab(table(spark), "drone_present", "nothing").count() == 0
+
+
+def test_wide_form(spark):
+    wide = coverage.crosstab_wide(table(spark), "drone_present", "drone_visibility", ["large", "small", "None"])
+    got = {r.drone_present: (r.large, r.small, r["None"], r.All) for r in wide.collect()}
+    assert got == {"yes": (2, 2, 0, 4), "no": (0, 0, 1, 1), "uncertain": (0, 0, 1, 1), "All": (2, 2, 2, 6)}
+
+
+def test_facets(spark):
+    df = table(spark).withColumn("background", F.coalesce("background", F.lit("unknown")))
+    got = [tuple(r) for r in coverage.facet_values(df).collect()]
+    assert got == [
+        ("background", "All"), ("background", "sky"), ("background", "trees"),
+        ("drone_present", "False"), ("drone_present", "True"),
+        ("drone_visibility", "large"), ("drone_visibility", "small"),
+    ]
+
+
+def test_order_and_totals(spark):
+    ordered = coverage.ranked(coverage.coverage(table(spark), ["background"])).collect()
+    assert [r.value for r in ordered] == ["sky", "All", "trees", "unknown"]
+    df = table(spark).withColumns({"source_split": F.lit("test"), "xml_path": F.when(F.col("drone_present"), "x")})
+    assert tuple(coverage.totals(df).first()) == (4, 1, 4, 6)
+    assert rows(coverage.split_counts(df), "drone_present", "count") == [(False, 1), (None, 1), (True, 4)]
+
+
+def test_one_scan_and_small_shuffle_for_all_dimensions(spark, tmp_path):
+    table(spark).write.parquet(str(tmp_path / "t"))
+    df = coverage.coverage(spark.read.parquet(str(tmp_path / "t")), ["drone_present", "background", "possible_confusers"])
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+    assert "drone_visibility" not in text and text.count("partial_count") == 1
