@@ -3,23 +3,30 @@
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from goldquarry.functions.text import strip_space
 
 
-def answer_text(col: Column) -> Column:
-    """Model text without reasoning blocks and without a surrounding code fence."""
-    text = strip_space(col)
-    outside = strip_space(F.regexp_replace(text, r"(?s)<think>.*?</think>", ""))
-    text = F.when(outside != "", outside).otherwise(text)
-    opened = strip_space(F.regexp_replace(text, r"(?i)^```(?:json)?", ""))
-    closed = F.when(
-        opened.endswith("```"),
+def with_answer_text(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """Add the model text without reasoning blocks and without a surrounding code fence.
+
+    One column per step, so that no pattern is applied twice.
+    """
+    whole, outside, text, opened = (f"_{out}_{step}" for step in range(4))
+    unfenced = F.when(
+        F.col(opened).endswith("```"),
         strip_space(F.substr(opened, F.lit(1), F.length(opened) - F.lit(3))),
-    ).otherwise(opened)
-    return F.when(text.startswith("```"), closed).otherwise(text)
+    ).otherwise(F.col(opened))
+    return (
+        df.withColumn(whole, strip_space(F.col(text_col)))
+        .withColumn(outside, strip_space(F.regexp_replace(whole, r"(?s)<think>.*?</think>", "")))
+        .withColumn(text, F.when(F.col(outside) != "", F.col(outside)).otherwise(F.col(whole)))
+        .withColumn(opened, strip_space(F.regexp_replace(text, r"(?i)^```(?:json)?", "")))
+        .withColumn(out, F.when(F.col(text).startswith("```"), unfenced).otherwise(F.col(text)))
+        .drop(whole, outside, text, opened)
+    )
 
 
 def _last_object(text: str) -> str | None:
@@ -58,7 +65,7 @@ def extract_json(df: DataFrame, text_col: str) -> DataFrame:
     text = F.col("_answer")
     flat = text.rlike(r"^\{[^{}]*\}$") & F.try_parse_json(text).isNotNull()
     return (
-        df.withColumn("_answer", answer_text(F.col(text_col)))
+        with_answer_text(df, text_col, "_answer")
         .withColumn("_flat", F.coalesce(flat, F.lit(False)))
         .withColumn("_scanned", _scan(F.when(~F.col("_flat"), text)))
         .withColumn("json", F.when(F.col("_flat"), text).otherwise(F.col("_scanned")))

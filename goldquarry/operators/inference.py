@@ -125,7 +125,8 @@ def annotate(
 
     Items whose request is answered in `responses` are not asked again unless `refresh`. The
     responder sees model, image_id, image_path, prompt, request_key, schema_version and, with
-    `images` (image_path, content), the file content. Pass a `store` that writes the new
+    `images` (image_path, content), the file content; over many items it is better to leave
+    `images` out and let the responder open the path, as the content then need not be shuffled. Pass a `store` that writes the new
     responses and returns the written table (see `sources.stages`) when calls must not repeat.
     """
     if annotator not in fv.ANNOTATORS:
@@ -175,9 +176,9 @@ def score_frames(
     """One graded result per (model, query, frame) of the query set.
 
     The responder sees model, query_id, query_text, image_id, is_positive, image_path, prompt
-    and, with `images`, content. Frames that are not in `items`, or with a `listing` have no
-    file, are left out (see `skipped_frames`); if an id repeats in `items` the row with the
-    largest path counts. Failed calls count as uncertain and keep their `error`. `max_rows` is
+    and, with `images` (image_path, content), content. Frames that are not in `items`, or with
+    `images` or a `listing` have no file, are left out (see `skipped_frames`); if an id repeats
+    in `items` the row with the largest path counts. Failed calls count as uncertain and keep their `error`. `max_rows` is
     a proven bound on the size of the query set, if there is one.
     """
     wanted = query_set.select("query_id", "query_text", "image_id", "is_positive")
@@ -190,11 +191,13 @@ def score_frames(
     frames = found.groupBy("query_id", "query_text", "image_id", "is_positive").agg(
         F.max("image_path").alias("image_path")
     )
+    if images is not None:
+        # The sampled frames go to the files, so the content of no other file moves.
+        content = images.select("image_path", "content")
+        frames = content.join(small_side(frames, max_rows), "image_path")
     requests = with_models(frames, models).withColumn(
         "prompt", retrieval_prompt(F.col("query_text"))
     )
-    if images is not None:
-        requests = requests.join(images.select("image_path", "content"), "image_path", "left")
     raw = store(run_responder(requests, responder, parallelism).drop("prompt"))
     return grade_results(raw)
 

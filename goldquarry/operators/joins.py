@@ -72,17 +72,13 @@ def unique_rows(df: DataFrame, key: str, last_by: str | None = None) -> DataFram
     no shuffle, and copies of a key collapse before the shuffle.
     """
     rest = [c for c in df.columns if c != key]
-    row = F.struct(*[F.col(c) for c in rest])
     if last_by is not None:
-        kept = df.groupBy(key).agg(F.max_by(row, F.struct(last_by, *_sortable(df, rest))).alias("_row"))
-    else:
-        repeated = F.raise_error(F.concat(F.lit(f"duplicate {key}: "), F.col(key).cast("string")))
-        kept = (
-            df.groupBy(key)
-            .agg(F.first(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
-            .select(key, F.when(F.col("_n") == 1, F.col("_first")).otherwise(repeated).alias("_row"))
-        )
-    return kept.select(key, *[F.col("_row")[c].alias(c) for c in rest])
+        row = F.max_by(F.struct(*rest), F.struct(last_by, *_sortable(df, rest)))
+        return df.groupBy(key).agg(row.alias("_row")).select(key, "_row.*")
+    # first() of every column comes from the same row.
+    kept = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest])
+    repeated = F.raise_error(F.concat(F.lit(f"duplicate {key}: "), F.col(key).cast("string")))
+    return kept.select(key, *[F.when(F.col("_n") == 1, F.col(c)).otherwise(repeated).alias(c) for c in rest])
 
 
 def _sortable(df: DataFrame, names) -> list[str]:
@@ -98,20 +94,26 @@ def attach(
     return salted_join(df, lookup, key) if salted else df.join(lookup, key, "left")
 
 
+def with_cached(requests: DataFrame, cache: DataFrame, key: str) -> DataFrame:
+    """Requests with the cached columns and whether there is a cached row (`hit`).
+
+    Requests for copies of the same content share a key, so hot keys are salted.
+    """
+    known = unique_rows(cache, key, last_by=key).withColumn("hit", F.lit(True))
+    return salted_join(requests, known, key).withColumn("hit", F.coalesce("hit", F.lit(False)))
+
+
 def split_cached(
     requests: DataFrame, cache: DataFrame, key: str, refresh: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(requests with the cached columns, requests still to be answered).
 
-    Requests for copies of the same content share a key, so hot keys are salted.
     With `refresh` nothing counts as cached.
     """
     if refresh:
-        cache = cache.where(F.lit(False))
-    cache = unique_rows(cache, key, last_by=key)
-    hits = salted_join(requests, cache, key, "inner")
-    misses = salted_join(requests, cache.select(key), key, "left_anti")
-    return hits, misses
+        return with_cached(requests, cache.where(F.lit(False)), key).where("hit").drop("hit"), requests
+    hits = with_cached(requests, cache, key).where("hit").drop("hit")
+    return hits, salted_join(requests, cache.select(key).distinct(), key, "left_anti")
 
 
 def with_file_exists(df: DataFrame, listing: DataFrame, path_col: str = "image_path") -> DataFrame:

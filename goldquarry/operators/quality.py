@@ -34,15 +34,21 @@ def kept_dropped(df: DataFrame, predicate: Column) -> DataFrame:
     )
 
 
-def facet_filter(df: DataFrame, choices: dict) -> DataFrame:
-    """Rows matching every chosen facet value; None, "", "All" and absent columns do not filter."""
+def facet_predicate(df: DataFrame, choices: dict) -> Column:
+    """Conjunction of the chosen facet values; None, "", "All" and absent columns do not filter."""
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    test = F.lit(True)
     for name, choice in choices.items():
         if choice in (None, "", "All") or name not in kinds:
             continue
         label = F.coalesce(text_label(F.col(name), kinds[name]), F.lit("None"))
-        df = df.where(label == F.lit(str(choice)))
-    return df
+        test = test & (label == F.lit(str(choice)))
+    return test
+
+
+def facet_filter(df: DataFrame, choices: dict) -> DataFrame:
+    """Rows matching every chosen facet value; `kept_dropped` with the predicate counts them."""
+    return df.where(facet_predicate(df, choices))
 
 
 def first_n(df: DataFrame, n: int, key: str = "image_id") -> DataFrame:

@@ -23,8 +23,8 @@ def take_lowest(df: DataFrame, groups: list[str], order: list[str], quota: Colum
     `order[0]` is a hex hash; `groups` are non-null and few; `quota` may depend on the groups
     and is at most `max_quota`. Small quotas are ranked directly, since Spark then drops
     lower ranks before the shuffle. For large ones no task ranks a whole group: counts per
-    slice of the hash say which slices are taken whole, and only the slice the quota falls
-    into is ranked.
+    slice of the hash say how many rows each slice gives, slices past the quota are dropped
+    before the shuffle, and ranks are taken within a slice.
     """
     if max_quota <= PRUNED_RANKS:
         by_group = Window.partitionBy(*groups).orderBy(*order)
@@ -42,18 +42,15 @@ def take_lowest(df: DataFrame, groups: list[str], order: list[str], quota: Colum
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_left", quota - F.sum("_n").over(by_slice) + F.col("_n"))
         .where(F.col("_left") > 0)
-        .select(*groups, "_slice", "_left", (F.col("_n") <= F.col("_left")).alias("_whole"))
+        .drop("_n")
     )
-    reached = sliced.join(F.broadcast(cut), [*groups, "_slice"])
     in_slice = Window.partitionBy(*groups, "_slice").orderBy(*order)
-    whole = reached.where("_whole")
-    partial = (
-        reached.where(~F.col("_whole"))
+    return (
+        sliced.join(F.broadcast(cut), [*groups, "_slice"])
         .withColumn("_rank", F.row_number().over(in_slice))
         .where(F.col("_rank") <= F.col("_left"))
-        .drop("_rank")
+        .select(*df.columns)
     )
-    return whole.unionByName(partial).select(*df.columns)
 
 
 def balanced_sample(

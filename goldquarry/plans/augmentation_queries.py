@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from goldquarry import fixed_values as fv
 from goldquarry.functions.text import cache_key, content_b64
 from goldquarry.operators import augment
-from goldquarry.operators.joins import split_cached
+from goldquarry.operators.joins import with_cached
 from goldquarry.plans import frames as fr
 from goldquarry.plans import oracle_views as ov
 from goldquarry.plans.registry import query
@@ -164,9 +164,4 @@ def cache_hits_misses(spark, sf):
     )
     labelled = fr.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("image_id"))
     cache = requests.join(labelled, "image_id", "left_semi").select("key", F.lit("ok").alias("status"))
-    hits, misses = split_cached(requests, cache, "key")
-    columns = ["image_id", "key", "hit"]
-    return (
-        hits.withColumn("hit", F.lit(True)).select(*columns)
-        .unionByName(misses.withColumn("hit", F.lit(False)).select(*columns))
-    )
+    return with_cached(requests, cache, "key").select("image_id", "key", "hit")

@@ -15,6 +15,7 @@ from goldquarry.plans import oracle_views as ov
 from goldquarry.plans.registry import query
 from goldquarry.sources.annotations import parse_annotations
 from goldquarry.sources.items import assemble_items
+from goldquarry.sources.stages import store_stage
 
 
 @query(
@@ -411,7 +412,8 @@ DESCRIBED = """
     SELECT stat, {DESCRIBED} FROM long WHERE v IS NOT NULL GROUP BY stat""",
 )
 def describe_stats(spark, sf):
-    return quality.describe(fr.curated(spark, sf), ["blur_score", "brightness", "bbox_ratio", "n_chars"])
+    columns = ["blur_score", "brightness", "bbox_ratio", "n_chars"]
+    return quality.describe(store_stage(fr.curated(spark, sf).select(*columns), "statistics"), columns)
 
 
 @query(
@@ -450,6 +452,9 @@ def histogram_30(spark, sf):
     return table.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
 
 
+CHOICES = {"source_split": "All", "drone_present": "True", "background": "sky", "model": "m", "drone_visibility": None}
+
+
 @query(
     "facet_filter",
     f"""WITH {ov.FRAMES}
@@ -457,8 +462,19 @@ def histogram_30(spark, sf):
     WHERE drone_present = TRUE AND background = 'sky'""",
 )
 def facet_filter(spark, sf):
-    choices = {"source_split": "All", "drone_present": "True", "background": "sky", "model": "m", "drone_visibility": None}
-    return quality.facet_filter(fr.frames(spark, sf), choices).select("image_id", "source_split", "background")
+    return quality.facet_filter(fr.frames(spark, sf), CHOICES).select("image_id", "source_split", "background")
+
+
+@query(
+    "facet_counts",
+    f"""WITH {ov.FRAMES}
+    SELECT count(*) FILTER (drone_present AND background = 'sky') AS kept,
+           count(*) - count(*) FILTER (drone_present AND background = 'sky') AS dropped, count(*) AS total FROM frames""",
+)
+def facet_counts(spark, sf):
+    """Shown, hidden and all rows of a facet selection."""
+    items = fr.frames(spark, sf)
+    return quality.kept_dropped(items, quality.facet_predicate(items, CHOICES))
 
 
 EDITS_SQL = """

@@ -159,9 +159,7 @@ def evaluate_models(
     )
     metrics = evaluate.query_metrics(results, query_set, models)
     summary = evaluate.run_summary(metrics)
-    for model in models:
-        mine = F.col("model") == model
-        write_run(results.where(mine), summary.where(mine), root, model)
+    write_run(results, summary, root)
     detailed = evaluate.detailed_eval(
         results, query_set, pool, max_rows=None if bound is None else bound * len(models)
     )

@@ -44,9 +44,12 @@ def export_coverage(coverage: DataFrame, gaps: DataFrame, crosstabs: DataFrame,
     write(crosstabs.repartition("tab")).partitionBy("tab").csv(f"{path}/coverage_crosstab")
 
 
-def write_run(results: DataFrame, summary: DataFrame, path: str, run_label: str) -> None:
-    """Results and summary of one labelled run; runs with other labels stay untouched."""
-    label = F.lit(run_label)
+def write_run(results: DataFrame, summary: DataFrame, path: str, run_label: str | None = None) -> None:
+    """Results and summary per run; runs with other labels stay untouched.
+
+    The label is `run_label` or else the model name, so that one write stores a whole sweep.
+    """
+    label = F.col("model") if run_label is None else F.lit(run_label)
     for df, name in ((results, "retrieval_results"), (summary, "retrieval_eval_summary")):
         (
             df.withColumn("run", label)

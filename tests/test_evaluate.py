@@ -145,3 +145,12 @@ def test_scoring_does_not_shuffle_the_items(spark, tmp_path):
 def test_unknown_annotators_are_refused(spark):
     with pytest.raises(ValueError):
         inference.annotate(items(spark), fussy, "m", annotator="nobody")
+
+
+def test_content_reaches_the_responder_once_per_frame(spark):
+    images = spark.createDataFrame([("/a.jpg", b"A"), ("/zz.jpg", b"Z")], "image_path string, content binary")
+    out = inference.score_frames(
+        queries(spark), items(spark), lambda b: [bytes(c).decode() + " probably yes" for c in b["content"]], ["m"], images, max_rows=4
+    )
+    assert rows(out, "query_id", "image_id", "raw_response", "score") == [("q1", "a", "A probably yes", 4), ("q2", "a", "A probably yes", 4)]
+    assert "content" not in out.columns

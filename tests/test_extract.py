@@ -53,3 +53,9 @@ def test_flat_rows_do_not_reach_python(spark):
     plan = extract_json(spark.createDataFrame([("x",)], "t string"), "t")
     text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
     assert text.count("ArrowEvalPython") >= 1 and "BatchEvalPython" not in text
+
+
+def test_patterns_are_applied_once(spark):
+    plan = extract_json(spark.createDataFrame([("x",)], "t string"), "t")
+    text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+    assert text.count("regexp_replace") == 2 and text.count("parseJson") == 1
