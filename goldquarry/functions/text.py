@@ -60,10 +60,9 @@ def cache_key(b64: Column, prompt: Column) -> Column:
     return F.substring(digest, 1, fv.CACHE_KEY_LENGTH)
 
 
-def sample_key(seed: int, tag, item_id: Column) -> Column:
+def sample_key(seed: int, item_id: Column) -> Column:
     """Pseudo-random but reproducible order of items within a sample."""
-    tag = F.lit(tag) if isinstance(tag, str) else tag
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), tag, item_id).cast("binary"))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), item_id.cast("string")).cast("binary"))
 
 
 def file_stem(path: Column) -> Column:

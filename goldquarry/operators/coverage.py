@@ -1,5 +1,7 @@
 """Coverage counts, gaps, cross-tabs with margins, facets and simple totals."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,22 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
 
 
+def _parts(df: DataFrame, wanted: list[list[str]]):
+    """Split wanted column groups into weighted tables: (table with `_n`, its groups).
+
+    Groups of columns with a controlled vocabulary share a table of counted combinations,
+    which is small however large `df` is. Groups with a free column are counted row by row.
+    """
+    controlled = [g for g in wanted if set(g) <= set(fv.CONTROLLED_COLUMNS)]
+    free = [g for g in wanted if g not in controlled]
+    if controlled:
+        columns = sorted({c for g in controlled for c in g})
+        yield df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), controlled
+    if free:
+        columns = sorted({c for g in free for c in g})
+        yield df.select(*columns, F.lit(1).alias("_n")), free
+
+
 def _is_array(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.ArrayType)
 
@@ -57,7 +75,7 @@ def coverage(
     min_count: int = fv.COVERAGE_MIN_COUNT,
     domain: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows (dimension, value, count, has_gap), all dimensions in one pass and one shuffle.
+    """Rows (dimension, value, count, has_gap), the dimensions counted together.
 
     Array columns count every element, so their totals may exceed the row count. Absent
     dimensions are skipped. A `domain` table (dimension, value) adds values never seen.
@@ -67,12 +85,15 @@ def coverage(
     if not known:
         schema = "dimension string, value string, count bigint, has_gap boolean"
         return df.sparkSession.createDataFrame([], schema)
-    entries = F.concat(*[_entries(df, d) for d in known])
-    counts = (
-        df.select(F.explode(entries).alias("e"))
-        .groupBy("e.dimension", "e.value")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    tables = []
+    for part, names in _parts(df, [[d] for d in known]):
+        entries = F.concat(*[_entries(part, d) for (d,) in names])
+        tables.append(
+            part.select("_n", F.explode(entries).alias("e"))
+            .groupBy("e.dimension", "e.value")
+            .agg(F.sum("_n").alias("count"))
+        )
+    counts = reduce(DataFrame.unionByName, tables)
     if domain is not None:
         counts = domain.join(counts, ["dimension", "value"], "full").withColumn(
             "count", F.coalesce("count", F.lit(0))
@@ -122,35 +143,37 @@ def _with_margins(cells: DataFrame) -> DataFrame:
 
 
 def crosstabs(df: DataFrame, pairs=None, null_label: str = "None") -> DataFrame:
-    """Several cross-tabs with margins in long form, from one pass over the table.
+    """Several cross-tabs with margins in long form, counted together.
 
     `pairs` holds (left, right, leave out rows without a visibility). Pairs with an absent
     column are skipped.
     """
     pairs = fv.KEY_CROSSTABS if pairs is None else pairs
-    seen = F.col("drone_visibility").isNotNull() if "drone_visibility" in df.columns else F.lit(True)
-    entries = []
-    for left, right, needs_visibility in pairs:
-        if left not in df.columns or right not in df.columns:
-            continue
-        entry = F.struct(
-            F.lit(f"{left}_x_{right}").alias("tab"),
-            _tab_label(df, left, null_label).alias("l"),
-            _tab_label(df, right, null_label).alias("r"),
-        )
-        entries.append(F.when(seen, entry) if needs_visibility else entry)
-    if not entries:
+    known = [p for p in pairs if p[0] in df.columns and p[1] in df.columns]
+    if not known:
         schema = (
             "tab string, left_value string, right_value string, "
             "left_margin boolean, right_margin boolean, count bigint"
         )
         return df.sparkSession.createDataFrame([], schema)
-    cells = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.tab", "e.l", "e.r")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return _with_margins(cells)
+    visibility = ["drone_visibility"] if "drone_visibility" in df.columns else []
+    needs = {(l, r): visibility if seen else [] for l, r, seen in known}
+    cells = []
+    for part, names in _parts(df, [[l, r, *more] for (l, r), more in needs.items()]):
+        entries = []
+        for left, right, *seen in names:
+            entry = F.struct(
+                F.lit(f"{left}_x_{right}").alias("tab"),
+                _tab_label(part, left, null_label).alias("l"),
+                _tab_label(part, right, null_label).alias("r"),
+            )
+            entries.append(F.when(F.col(seen[0]).isNotNull(), entry) if seen else entry)
+        cells.append(
+            part.select("_n", F.explode(F.array_compact(F.array(*entries))).alias("e"))
+            .groupBy("e.tab", "e.l", "e.r")
+            .agg(F.sum("_n").alias("n"))
+        )
+    return _with_margins(reduce(DataFrame.unionByName, cells))
 
 
 def crosstab(df: DataFrame, left: str, right: str, margins: bool = True, null_label: str = "None") -> DataFrame:
@@ -177,16 +200,19 @@ def crosstab_wide(df: DataFrame, left: str, right: str, right_values, null_label
 def facet_values(df: DataFrame, facets=None) -> DataFrame:
     """Distinct shown values per facet column: sorted rows (facet, value)."""
     facets = fv.FACETS if facets is None else facets
-    entries = []
-    for name, hidden in facets.items():
-        if name not in df.columns:
-            continue
-        label = text_label(F.col(name), df.schema[name].dataType.typeName())
-        entry = F.struct(F.lit(name).alias("facet"), label.alias("value"))
-        entries.append(F.when(holds(~label.isin(hidden)) if hidden else label.isNotNull(), entry))
-    return (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .select("e.facet", "e.value")
-        .distinct()
-        .orderBy("facet", "value")
-    )
+    known = [[name] for name in facets if name in df.columns]
+    tables = []
+    for part, names in _parts(df, known):
+        entries = []
+        for (name,) in names:
+            label = text_label(F.col(name), df.schema[name].dataType.typeName())
+            shown = holds(~label.isin(facets[name])) if facets[name] else label.isNotNull()
+            entries.append(F.when(shown, F.struct(F.lit(name).alias("facet"), label.alias("value"))))
+        tables.append(
+            part.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+            .select("e.facet", "e.value")
+            .distinct()
+        )
+    if not tables:
+        return df.sparkSession.createDataFrame([], "facet string, value string")
+    return reduce(DataFrame.unionByName, tables).orderBy("facet", "value")

@@ -1,5 +1,8 @@
 """Quality filters, facet filters, descriptive statistics and histograms."""
 
+from functools import reduce
+from math import ceil, floor
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from goldquarry import fixed_values as fv
@@ -70,82 +73,147 @@ def _as_columns(columns) -> dict:
     return columns if isinstance(columns, dict) else {c: F.col(c) for c in columns}
 
 
+def _numbers(df: DataFrame, columns: dict) -> DataFrame:
+    """The columns as doubles, NaN read as missing."""
+    clean = {n: F.nanvl(c.cast("double"), F.lit(None).cast("double")) for n, c in columns.items()}
+    return df.select(*[c.alias(n) for n, c in clean.items()])
+
+
+def _summary(numbers: DataFrame, marks: list[float]) -> dict[str, dict]:
+    """Moments and approximate quantiles at the marks per column with values: one small row."""
+    at = F.array(*map(F.lit, marks))
+    per_column = [
+        F.struct(
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+            F.percentile_approx(c, at, F.lit(1000)).alias("cuts"),
+        ).alias(c)
+        for c in numbers.columns
+    ]
+    row = numbers.agg(*per_column).first()
+    return {c: row[c].asDict() for c in numbers.columns if row[c]["count"]}
+
+
+def _marks(probabilities, margin: float) -> list[float]:
+    return sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
+
+
+def _slices(numbers: DataFrame, summary: dict) -> dict[str, list]:
+    """Per column the cuts and the open intervals between them, as (low, high, rows before, rows upto).
+
+    A cut itself is a slice with low == high, so a value that many rows share is no part of any
+    interval.
+    """
+    cuts = {c: sorted(set(s["cuts"])) for c, s in summary.items()}
+    ends = [F.count_if(test) for c, at in cuts.items() for x in at for test in (F.col(c) < x, F.col(c) <= x)]
+    counts = iter(numbers.agg(*[n.alias(f"n{i}") for i, n in enumerate(ends)]).first())
+    slices = {}
+    for c, at in cuts.items():
+        slices[c], low, before = [], None, 0
+        for cut in at:
+            below, upto = next(counts), next(counts)
+            slices[c] += [(low, cut, before, below), (cut, cut, below, upto)]
+            low, before = cut, upto
+        slices[c].append((low, None, before, summary[c]["count"]))
+    return slices
+
+
+def _inside(col: Column, low, high) -> Column:
+    test = F.lit(True) if low is None else col > low
+    return test if high is None else test & (col < high)
+
+
 def quantiles(df: DataFrame, columns, probabilities, margin: float = 0.002) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (stat, q, value).
 
     Stays exact and distributed on columns of any size. Approximate quantiles a little below
-    and above every wanted one cut the values into slices; the slice totals tell which slices
-    hold the wanted ranks, and only those (a few permille of the rows each, equal values
-    collapsed) are shuffled and ordered. The cuts affect the balance, never the result.
+    and above every wanted one cut the values into slices, and one aggregate counts the rows up
+    to each cut (both give a few numbers, which are read at once). The counts tell which slices
+    hold the wanted ranks; only those, a few permille of the rows, are shuffled and ordered.
+    The cuts affect the balance, never the result.
     """
-    long = _long(df, _as_columns(columns))
-    around = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)]
-    marks = F.array(*[F.lit(m) for m in sorted(set(around))])
-    # One row per column, two numbers per quantile.
-    cuts = long.groupBy("stat").agg(F.percentile_approx("v", marks, F.lit(10_000)).alias("cuts"))
-    sliced = (
-        long.join(F.broadcast(cuts), "stat")
-        .withColumn("slice", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
-        .drop("cuts")
-    )
-    by_slice = Window.partitionBy("stat").orderBy("slice")
-    totals = (
-        sliced.groupBy("stat", "slice")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(by_slice))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("stat")))
-        .withColumn("before", F.col("upto") - F.col("n"))
-    )
-    ranks = totals.withColumn(
-        "q", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    ).withColumn("pos", F.col("q") * (F.col("total") - 1))
-    ends = F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))
-    # At most two rows per column and quantile.
-    wanted = (
-        ranks.withColumn("rank", F.explode(ends))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
-        .select("stat", "slice", "before", "q", "pos", "rank")
+    numbers = _numbers(df, _as_columns(columns))
+    return _quantiles(numbers, _summary(numbers, _marks(probabilities, margin)), probabilities)
+
+
+def _quantiles(numbers: DataFrame, summary: dict, probabilities) -> DataFrame:
+    spark = numbers.sparkSession
+    if not summary:
+        return spark.createDataFrame([], "stat string, q double, value double")
+    # At most two ranks per column and quantile: found at a cut, or still to be looked up.
+    found, wanted, places = [], [], {}
+    for c, slices in _slices(numbers, summary).items():
+        positions = [(p, p * (summary[c]["count"] - 1)) for p in map(float, probabilities)]
+        for k, (low, high, before, upto) in enumerate(slices):
+            ranks = [
+                (c, k, p, pos - floor(pos), r - before)
+                for p, pos in positions
+                for r in {floor(pos), ceil(pos)}
+                if before <= r < upto
+            ]
+            if ranks and low is not None and low == high:
+                found += [(c, p, fraction, low) for _, _, p, fraction, _ in ranks]
+            elif ranks:
+                wanted += ranks
+                start = F if c not in places else places[c]
+                places[c] = start.when(_inside(F.col(c), low, high), k)
+    values = spark.createDataFrame(found, "stat string, q double, fraction double, v double")
+    if wanted:
+        values = values.unionByName(_values_at(numbers, places, wanted))
+    low, high = F.min("v"), F.max("v")
+    return values.groupBy("stat", "q").agg((low + (high - low) * F.first("fraction")).alias("value"))
+
+
+def _values_at(numbers: DataFrame, places: dict[str, Column], wanted: list) -> DataFrame:
+    """Values at wanted ranks (column, slice, q, fraction, rank in slice)."""
+    ranks = numbers.sparkSession.createDataFrame(
+        wanted, "stat string, slice int, q double, fraction double, rank long"
     )
-    targets = wanted.select("stat", "slice", "before").distinct()
-    in_slice = Window.partitionBy("stat", "slice").orderBy("v")
+    entries = [
+        F.when(place.isNotNull(), F.struct(F.lit(c).alias("stat"), place.alias("slice"), F.col(c).alias("v")))
+        for c, place in places.items()
+    ]
+    near = reduce(Column.__or__, [place.isNotNull() for place in places.values()])
+    by_value = Window.partitionBy("stat", "slice").orderBy("v")
     ordered = (
-        sliced.join(F.broadcast(targets), ["stat", "slice"])
-        .groupBy("stat", "slice", "before", "v")
+        numbers.where(near)
+        .select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy("e.stat", "e.slice", "e.v")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_slice))
-        .withColumn("from", F.col("upto") - F.col("n"))
+        .withColumn("upto", F.sum("n").over(by_value))
     )
-    hit = (F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("upto"))
-    located = ordered.drop("before").join(
-        F.broadcast(wanted.drop("before")), ["stat", "slice"]
-    ).where(hit)
-    low, high = F.min("v"), F.max("v")
-    return located.groupBy("stat", "q").agg(
-        (low + (high - low) * (F.first("pos") - F.floor(F.first("pos")))).alias("value")
+    hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+    return (
+        ordered.join(F.broadcast(ranks), ["stat", "slice"]).where(hit).select("stat", "q", "fraction", "v")
     )
 
 
 def describe(df: DataFrame, columns, digits: int = 3) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, missing values skipped."""
-    columns = _as_columns(columns)
-    long = _long(df, columns)
-    basics = long.groupBy("stat").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
+    """count, mean, std, min, quartiles and max per column, missing values skipped.
+
+    A column without values has no row.
+    """
+    quartiles = [0.25, 0.5, 0.75]
+    numbers = _numbers(df, _as_columns(columns))
+    summary = _summary(numbers, _marks(quartiles, 0.002))
+    # One row per column.
+    basics = numbers.sparkSession.createDataFrame(
+        [(c, *[s[k] for k in ("count", "mean", "std", "min", "max")]) for c, s in summary.items()],
+        "stat string, count long, mean double, std double, min double, max double",
     )
     at = lambda p: F.max(F.when(F.col("q") == p, F.col("value")))
-    quartiles = (
-        quantiles(df, columns, [0.25, 0.5, 0.75])
+    inner = (
+        _quantiles(numbers, summary, quartiles)
         .groupBy("stat")
         .agg(at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75"))
     )
-    # One row per column on both sides.
-    table = basics.join(F.broadcast(quartiles), "stat")
-    numbers = ["mean", "std", "min", "p25", "p50", "p75", "max"]
-    return table.select("stat", "count", *[F.round(c, digits).alias(c) for c in numbers])
+    columns_out = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return inner.join(F.broadcast(basics), "stat").select(
+        "stat", "count", *[F.round(c, digits).alias(c) for c in columns_out]
+    )
 
 
 def histogram(df: DataFrame, columns, bins: int = fv.HISTOGRAM_BINS) -> DataFrame:

@@ -1,55 +1,45 @@
 """Reproducible samples: balanced two-class samples and the evaluation query set.
 
-Random order is a hash of (seed, tag, id), so a sample depends on neither partitioning nor
-row order.
+Random order is a hash of (seed, id), so a sample depends on neither partitioning nor row order.
+The leading digits of the hash cut the table into slices of equal expected size. Counts per
+slice, which a plain aggregate delivers, tell which slices a sample reaches; all other rows are
+dropped before anything is sorted or shuffled, and ranks are only taken within a slice, so no
+task ever holds a whole class.
 """
 
+from hashlib import md5
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from goldquarry import fixed_values as fv
 from goldquarry.functions.predicates import equals_all, holds
 from goldquarry.functions.text import sample_key
 
-# Spark prunes a ranked group before the shuffle up to this rank
+# Hex digits of the sample key that name a slice.
+SLICE_DIGITS = 3
+# Spark drops ranks above a literal before the shuffle up to this rank
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 PRUNED_RANKS = 1000
-# Hex digits of the sample key that name a slice of a group.
-SLICE_DIGITS = 3
+# Sub-groups over which the rows of slices that are taken whole are spread.
+SPREAD = 64
 
 
-def take_lowest(df: DataFrame, groups: list[str], order: list[str], quota: Column, max_quota: int) -> DataFrame:
-    """The first `quota` rows of each group in the order of the key columns.
+def _with_key(df: DataFrame, key: str, seed: int) -> DataFrame:
+    return df.withColumn("_key", sample_key(seed, F.col(key))).withColumn(
+        "_slice", F.substring("_key", 1, SLICE_DIGITS)
+    )
+
 
-    `order[0]` is a hex hash; `groups` are non-null and few; `quota` may depend on the groups
-    and is at most `max_quota`. Small quotas are ranked directly, since Spark then drops
-    lower ranks before the shuffle. For large ones no task ranks a whole group: counts per
-    slice of the hash say how many rows each slice gives, slices past the quota are dropped
-    before the shuffle, and ranks are taken within a slice.
+def _reached(counts: DataFrame, groups: list[str], order: list, quota: Column) -> DataFrame:
+    """Slices (of `n` rows) a quota reaches, with the rows `left` to take from each.
+
+    `counts` holds at most 16 ** SLICE_DIGITS rows per group.
     """
-    if max_quota <= PRUNED_RANKS:
-        by_group = Window.partitionBy(*groups).orderBy(*order)
-        return (
-            df.withColumn("_rank", F.row_number().over(by_group))
-            .where(F.col("_rank") <= max_quota)
-            .where(F.col("_rank") <= quota)
-            .drop("_rank")
-        )
-    sliced = df.withColumn("_slice", F.substring(order[0], 1, SLICE_DIGITS))
-    by_slice = Window.partitionBy(*groups).orderBy("_slice")
-    # At most 16 ** SLICE_DIGITS rows per group.
-    cut = (
-        sliced.groupBy(*groups, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_left", quota - F.sum("_n").over(by_slice) + F.col("_n"))
-        .where(F.col("_left") > 0)
-        .drop("_n")
-    )
-    in_slice = Window.partitionBy(*groups, "_slice").orderBy(*order)
+    upto = F.sum("n").over(Window.partitionBy(*groups).orderBy(*order))
     return (
-        sliced.join(F.broadcast(cut), [*groups, "_slice"])
-        .withColumn("_rank", F.row_number().over(in_slice))
-        .where(F.col("_rank") <= F.col("_left"))
-        .select(*df.columns)
+        counts.where(F.col("n") > 0)
+        .withColumn("left", quota - upto + F.col("n"))
+        .where(F.col("left") > 0)
     )
 
 
@@ -68,28 +58,32 @@ def balanced_sample(
     if max_rows == 0:
         return df
     cls = F.col(class_col)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(holds(cls)).alias("pos"),
-        F.count_if(holds(~cls)).alias("neg"),
-    )
-    half = (max_rows + 1) // 2
+    name = F.when(cls, "pos").when(~cls, "neg").otherwise("unknown")
+    rows = _with_key(df, key, seed).withColumn("_class", name)
+    counts = rows.groupBy("_class", "_slice").agg(F.count(F.lit(1)).alias("n"))
+    size = lambda c: F.coalesce(F.sum(F.when(F.col("_class") == c, F.col("n"))), F.lit(0))
+    sizes = counts.agg(size("pos").alias("pos"), size("neg").alias("neg"), size("unknown").alias("unknown"))
     # Each class gets its half, or more where the other class falls short of its own.
+    half = (max_rows + 1) // 2
     pos = F.least("pos", F.greatest(F.lit(half), F.lit(max_rows) - F.col("neg")))
     neg = F.least("neg", F.lit(max_rows) - pos)
-    everything = F.col("rows") <= max_rows
-    share = lambda quota: F.when(everything, F.lit(max_rows)).otherwise(quota).cast("int")
-    quotas = counts.select(
+    everything = F.col("pos") + F.col("neg") + F.col("unknown") <= max_rows
+    share = lambda quota: F.when(everything, F.lit(max_rows)).otherwise(quota).cast("long")
+    quotas = sizes.select(
         F.create_map(
-            F.lit("positive"), share(pos), F.lit("negative"), share(neg), F.lit("unknown"), share(F.lit(0))
+            F.lit("pos"), share(pos), F.lit("neg"), share(neg), F.lit("unknown"), share(F.lit(0))
         )
     ).scalar()
-    labelled = df.withColumn(
-        "_class", F.when(cls, "positive").when(~cls, "negative").otherwise("unknown")
-    ).withColumn("_key", sample_key(seed, "balanced", F.col(key)))
-    return take_lowest(
-        labelled, ["_class"], ["_key", key], F.element_at(quotas, F.col("_class")), max_rows
-    ).drop("_class", "_key")
+    cut = _reached(counts, ["_class"], ["_slice"], F.element_at(quotas, F.col("_class")))
+    # At most three classes of 16 ** SLICE_DIGITS slices.
+    taken = rows.join(F.broadcast(cut), ["_class", "_slice"])
+    # A slice that is taken whole needs no common ranking, so its rows are spread.
+    spread = F.when(F.col("n") <= F.col("left"), F.pmod(F.hash("_key"), F.lit(SPREAD))).otherwise(-1)
+    in_slice = Window.partitionBy("_class", "_slice", spread).orderBy("_key", key)
+    ranked = taken.withColumn("_rank", F.row_number().over(in_slice))
+    if max_rows <= PRUNED_RANKS:
+        ranked = ranked.where(F.col("_rank") <= max_rows)
+    return ranked.where(F.col("_rank") <= F.col("left")).select(*df.columns)
 
 
 def usable_templates(df: DataFrame, templates=None) -> list:
@@ -98,24 +92,37 @@ def usable_templates(df: DataFrame, templates=None) -> list:
     return [t for t in templates if all(c in df.columns for c in t[2])]
 
 
-def _template_counts(df: DataFrame, templates, n_queries: int, n_samples: int) -> DataFrame:
-    """One row: per template its counts and whether it is eligible, and the chosen ids."""
-    counts = []
-    for query_id, query_text, values in templates:
-        positive = F.count_if(equals_all(values))
-        negative = F.count(F.lit(1)) - positive
-        counts.append(
-            F.struct(
-                F.lit(query_id).alias("query_id"),
-                F.lit(query_text).alias("query_text"),
-                positive.alias("n_positive"),
-                negative.alias("n_negative"),
-                ((positive >= n_samples) & (negative >= n_samples)).alias("eligible"),
-            )
+def _flags(templates) -> dict[str, Column]:
+    """One column per template: whether a row is a positive for it."""
+    return {f"_t{i}": equals_all(values) for i, (_, _, values) in enumerate(templates)}
+
+
+def _start(seed: int, query_id: str) -> str:
+    """Slice at which a query starts to sample, so that queries do not share their frames."""
+    return md5(f"{seed}|{query_id}".encode()).hexdigest()[:SLICE_DIGITS]
+
+
+def _template_counts(profile: DataFrame, templates, seed: int) -> DataFrame:
+    """Positives and negatives per template, from a row (or rows) of summed flags and `n`."""
+    entries = [
+        F.struct(
+            F.lit(query_id).alias("query_id"),
+            F.lit(query_text).alias("query_text"),
+            F.lit(_start(seed, query_id)).alias("start"),
+            F.col(f"_t{i}").alias("n_positive"),
+            (F.col("n") - F.col(f"_t{i}")).alias("n_negative"),
         )
-    table = df.agg(F.array(*counts).alias("templates"))
-    eligible = F.transform(F.filter("templates", lambda t: t["eligible"]), lambda t: t["query_id"])
-    return table.withColumn("chosen", F.slice(eligible, 1, n_queries) if n_queries else F.array().cast("array<string>"))
+        for i, (query_id, query_text, _) in enumerate(templates)
+    ]
+    rest = [c for c in profile.columns if c == "_slice"]
+    return profile.select(*rest, F.posexplode(F.array(*entries)).alias("position", "t")).select(
+        *rest, "position", "t.*"
+    )
+
+
+def _tally(templates) -> list[Column]:
+    hits = [F.count_if(flag).alias(name) for name, flag in _flags(templates).items()]
+    return [*hits, F.count(F.lit(1)).alias("n")]
 
 
 def template_eligibility(
@@ -129,14 +136,13 @@ def template_eligibility(
     Rows for which a template cannot be decided (nulls) count as negatives.
     """
     templates = usable_templates(df, templates)
-    return (
-        _template_counts(df, templates, n_queries, n_samples)
-        .select(F.posexplode("templates").alias("position", "t"), "chosen")
-        .select(
-            "position",
-            "t.*",
-            F.array_contains("chosen", F.col("t.query_id")).alias("chosen"),
-        )
+    counts = _template_counts(df.agg(*_tally(templates)), templates, 0).drop("start")
+    enough = (F.col("n_positive") >= n_samples) & (F.col("n_negative") >= n_samples)
+    table = counts.withColumn("eligible", enough)
+    # One row per template.
+    chosen = table.where("eligible").orderBy("position").limit(n_queries).select("position", F.lit(True).alias("chosen"))
+    return table.join(F.broadcast(chosen), "position", "left").withColumn(
+        "chosen", F.coalesce("chosen", F.lit(False))
     )
 
 
@@ -150,37 +156,60 @@ def build_query_set(
 ) -> DataFrame:
     """Long query set (query_id, query_text, image_id, is_positive).
 
-    Each chosen template gets `n_samples` positives and as many negatives. Only ids and sample
-    keys are shuffled. The result has at most `query_set_bound(...)` rows.
+    Each chosen template gets `n_samples` positives and as many negatives: the first ones in
+    hash order from the query's start on. One aggregate counts all templates by slice; a second
+    pass picks up the few rows in reached slices. The result has at most `query_set_bound(...)`
+    rows.
     """
     templates = usable_templates(df, templates)
     if not templates or n_queries == 0 or n_samples == 0:
         schema = "query_id string, query_text string, image_id string, is_positive boolean"
         return df.sparkSession.createDataFrame([], schema)
-    chosen = _template_counts(df, templates, n_queries, n_samples).select("chosen").scalar()
-    entries = [
-        F.when(
-            F.array_contains("_chosen", F.lit(query_id)),
-            F.struct(
-                F.lit(query_id).alias("query_id"),
-                F.lit(query_text).alias("query_text"),
-                equals_all(values).alias("is_positive"),
-            ),
-        )
-        for query_id, query_text, values in templates
-    ]
-    rows = (
-        df.withColumn("_chosen", chosen)
-        .select(
-            F.col(key).alias("image_id"), F.explode(F.array_compact(F.array(*entries))).alias("e")
-        )
-        .select("image_id", "e.*")
-        .withColumn("_key", sample_key(seed, F.col("query_id"), F.col("image_id")))
+    flags = _flags(templates)
+    rows = _with_key(
+        df.select(F.col(key).alias("image_id"), *[c.alias(n) for n, c in flags.items()]), "image_id", seed
     )
-    sample = take_lowest(
-        rows, ["query_id", "is_positive"], ["_key", "image_id"], F.lit(n_samples), n_samples
+    profile = rows.groupBy("_slice").agg(
+        *[F.count_if(n).alias(n) for n in flags], F.count(F.lit(1)).alias("n")
+    )
+    # At most 16 ** SLICE_DIGITS rows per template from here to `reached`.
+    counts = _template_counts(profile, templates, seed)
+    enough = (F.sum("n_positive") >= n_samples) & (F.sum("n_negative") >= n_samples)
+    chosen = (
+        counts.groupBy("position").agg(enough.alias("eligible")).where("eligible").orderBy("position").limit(n_queries)
+    )
+    sides = F.array(
+        F.struct(F.lit(True).alias("is_positive"), F.col("n_positive").alias("n")),
+        F.struct(F.lit(False).alias("is_positive"), F.col("n_negative").alias("n")),
+    )
+    by_class = counts.join(F.broadcast(chosen), "position", "left_semi").select(
+        "_slice", "position", "query_id", "query_text", "start", F.inline(sides)
+    )
+    order = [F.col("_slice") < F.col("start"), F.col("_slice")]
+    reached = (
+        _reached(by_class, ["position", "is_positive"], order, F.lit(n_samples))
+        .groupBy("_slice")
+        .agg(F.collect_list(F.struct("position", "query_id", "query_text", "is_positive", "left")).alias("takes"))
+    )
+    fits = F.filter(
+        "takes", lambda t: F.get(F.array(*flags), t["position"]) == t["is_positive"]
+    )
+    members = (
+        rows.join(F.broadcast(reached), "_slice")
+        .select("_slice", "_key", "image_id", F.explode(fits).alias("t"))
+        .select("_slice", "_key", "image_id", "t.*")
+    )
+    # Copies of an id collapse, so a slice stays small whatever an id's share of the rows is.
+    group = ["query_id", "query_text", "is_positive", "left", "_slice"]
+    copies = members.groupBy(*group, "_key", "image_id").agg(F.count(F.lit(1)).alias("n"))
+    in_slice = Window.partitionBy(*group).orderBy("_key", "image_id")
+    take = F.least(F.col("n"), F.col("left") - (F.sum("n").over(in_slice) - F.col("n")))
+    return (
+        copies.withColumn("take", take)
+        .where(F.col("take") > 0)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("take").cast("int"))))
+        .select("query_id", "query_text", "image_id", "is_positive")
     )
-    return sample.select("query_id", "query_text", "image_id", "is_positive")
 
 
 def query_set_bound(n_queries: int = fv.QUERY_COUNT, n_samples: int = fv.QUERY_SAMPLES) -> int:

@@ -23,7 +23,7 @@ N_QUERIES = 20
     quota AS (SELECT least(pos, greatest(51, 101 - neg)) AS pos_n, neg FROM sizes),
     ranked AS (
       SELECT image_id, drone_present, row_number() OVER (PARTITION BY drone_present
-             ORDER BY md5('42|balanced|' || image_id), image_id) AS rn
+             ORDER BY md5('42|' || image_id), image_id) AS rn
       FROM frames WHERE drone_present IS NOT NULL
     )
     SELECT image_id, drone_present FROM ranked, quota
@@ -43,7 +43,7 @@ def balanced_sample(spark, sf):
     quota AS (SELECT least(pos, greatest(1501, 3001 - neg)) AS pos_n, neg FROM sizes),
     ranked AS (
       SELECT line_id, returned, row_number() OVER (PARTITION BY returned
-             ORDER BY md5('42|balanced|' || line_id), line_id) AS rn
+             ORDER BY md5('42|' || line_id), line_id) AS rn
       FROM lines WHERE returned IS NOT NULL
     )
     SELECT line_id, returned FROM ranked, quota

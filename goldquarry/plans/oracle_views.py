@@ -121,7 +121,8 @@ chosen AS (
 query_set AS (
   SELECT query_id, query_text, image_id, is_positive FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id, is_positive
-             ORDER BY md5('{seed}|' || query_id || '|' || image_id), image_id) AS rn
+             ORDER BY md5('{seed}|' || image_id) < substr(md5('{seed}|' || query_id), 1, 3),
+                      md5('{seed}|' || image_id), image_id) AS rn
     FROM candidates WHERE query_id IN (SELECT query_id FROM chosen))
   WHERE rn <= {n_samples}
 )"""

@@ -97,9 +97,22 @@ def test_order_and_totals(spark):
     assert rows(coverage.split_counts(df), "drone_present", "count") == [(False, 1), (None, 1), (True, 4)]
 
 
-def test_one_scan_and_small_shuffle_for_all_dimensions(spark, tmp_path):
-    table(spark).write.parquet(str(tmp_path / "t"))
-    df = coverage.coverage(spark.read.parquet(str(tmp_path / "t")), ["drone_present", "background", "possible_confusers"])
-    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
-    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
-    assert "drone_visibility" not in text and text.count("partial_count") == 1
+def test_controlled_columns_are_counted_before_they_are_unnested(spark, tmp_path):
+    table(spark).withColumn("n", F.lit(1)).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = lambda df: df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    text = plan(coverage.coverage(stored, ["drone_present", "background", "possible_confusers"]))
+    assert text.count("FileScan") == 1 and "drone_visibility" not in text
+    assert text.index("Generate") < text.index("partial_count")
+    mixed = coverage.coverage(stored, ["drone_present", "n"])
+    assert {(d, v): c for d, v, c, _ in rows(mixed)} == {
+        ("drone_present", "yes"): 4, ("drone_present", "no"): 1, ("drone_present", "uncertain"): 1, ("n", "1"): 6
+    }
+
+
+def test_free_columns_give_the_same_counts(spark, monkeypatch):
+    df = table(spark)
+    build = lambda: (rows(coverage.coverage(df)), rows(coverage.crosstabs(df)), rows(coverage.facet_values(df)))
+    want = build()
+    monkeypatch.setattr(coverage.fv, "CONTROLLED_COLUMNS", ["background"])
+    assert build() == want
