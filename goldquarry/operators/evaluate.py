@@ -50,14 +50,18 @@ def query_metrics(results: DataFrame, query_set: DataFrame, models, digits: int
     )
 
 
-def run_summary(metrics: DataFrame, digits: int = 4) -> DataFrame:
-    """One row per model: macro means over the queries and the nested per-query metrics."""
+def run_summary(metrics: DataFrame, digits: int = 4, nested: bool = True) -> DataFrame:
+    """One row per model: macro means over the queries and, if `nested`, their metrics as a list.
+
+    Leave the list out for very large custom query sets; `metrics` has the same rows.
+    """
     fields = ["query_id", "query_text", "n_positive", "n_negative", "tp", "fp", "fn", "tn", *METRICS]
+    per_query = F.array_sort(F.collect_list(F.struct(*fields))).alias("per_query")
     return metrics.groupBy("model").agg(
         F.lit(fv.RETRIEVAL_THRESHOLD).alias("retrieval_threshold"),
         F.count(F.lit(1)).alias("n_queries"),
         *[F.round(F.avg(m), digits).alias(f"mean_{m}") for m in METRICS],
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("per_query"),
+        *([per_query] if nested else []),
     )
 
 

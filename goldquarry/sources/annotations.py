@@ -6,7 +6,7 @@ from goldquarry import fixed_values as fv
 from goldquarry.functions.geometry import box
 from goldquarry.functions.text import file_stem
 from goldquarry.schema import ANNOTATION_XML, BOXES
-from goldquarry.sources.images import decoded_path
+from goldquarry.sources.images import below, decoded_path
 
 
 def boxes_of(objects: Column) -> Column:
@@ -36,7 +36,7 @@ def parse_annotations(df: DataFrame, xml_col: str) -> DataFrame:
 
 
 def read_annotations(spark: SparkSession, path: str, row_tag: str = "annotation") -> DataFrame:
-    """(image_id, xml_path, width, height, bbox) of all XML files below a folder.
+    """(image_id, xml_path, width, height, bbox) of the XML files in folders strictly below `path`.
 
     The id is the file stem. Of files with the same stem the one with the largest path counts.
     """
@@ -52,7 +52,8 @@ def read_annotations(spark: SparkSession, path: str, row_tag: str = "annotation"
     rows = files.select(
         xml_path.alias("xml_path"),
         *[c.alias(n) for n, c in annotation_columns(F.col("size"), F.col("object")).items()],
-    ).withColumn("image_id", file_stem(F.col("xml_path")))
+    ).where(below(spark, F.col("xml_path"), path))
+    rows = rows.withColumn("image_id", file_stem(F.col("xml_path")))
     last = F.max_by(F.struct("xml_path", "width", "height", "bbox"), "xml_path")
     return rows.groupBy("image_id").agg(last.alias("r")).select("image_id", "r.*")
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from goldquarry import fixed_values as fv
 from goldquarry.functions.text import content_b64, file_stem, file_suffix
+from goldquarry.sources.paths import plain_path
 
 
 def decoded_path(uri: Column) -> Column:
@@ -16,13 +17,24 @@ def _local(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:/+", "/")
 
 
-def file_name(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
+def below(spark: SparkSession, path_col: Column, root: str) -> Column:
+    """Whether a file lies in a folder strictly below the root."""
+    folder = F.regexp_replace(path_col, r"/[^/]*$", "")
+    return folder != F.lit(plain_path(spark, root))
 
 
-def _binary_files(spark: SparkSession, path: str) -> DataFrame:
+def _glob(suffixes) -> str:
+    """File name pattern of the suffixes in any case."""
+    either = lambda c: f"[{c.lower()}{c.upper()}]" if c.isalpha() else c
+    return "*{" + ",".join("".join(map(either, s)) for s in suffixes) + "}"
+
+
+def _binary_files(spark: SparkSession, path: str, suffixes=tuple(fv.IMAGE_SUFFIXES)) -> DataFrame:
     files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", _glob(suffixes))
+        .load(path)
     )
     return files.withColumn("image_path", _local(F.col("path")))
 
@@ -34,14 +46,11 @@ def list_images(
 
     Reads file names only, no content.
     """
-    root = path.rstrip("/").split("file:")[-1]
-    below = F.substring_index("image_path", "/", -2).isNotNull() & ~F.regexp_replace(
-        "image_path", r"/[^/]*$", ""
-    ).eqNullSafe(F.lit(root))
     return (
-        _binary_files(spark, path)
+        _binary_files(spark, path, suffixes)
         .select("image_path")
-        .where(file_suffix(F.col("image_path")).isin(list(suffixes)) & below)
+        .where(file_suffix(F.col("image_path")).isin(list(suffixes)))
+        .where(below(spark, F.col("image_path"), path))
         .select(
             file_stem(F.col("image_path")).alias("image_id"),
             "image_path",
@@ -51,7 +60,7 @@ def list_images(
 
 
 def read_contents(spark: SparkSession, path: str) -> DataFrame:
-    """(image_path, content) of the files below `path`."""
+    """(image_path, content) of the image files below `path`."""
     return _binary_files(spark, path).select("image_path", "content")
 
 
@@ -65,6 +74,7 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     images = (
         spark.read.format("image")
         .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", _glob(fv.IMAGE_SUFFIXES))
         .option("dropInvalid", "false")
         .load(path)
     )

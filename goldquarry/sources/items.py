@@ -54,18 +54,23 @@ def assemble_items(
     return rows.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in BASE.fields])
 
 
-def load_split(spark: SparkSession, path: str, split: str) -> DataFrame:
+def load_split(spark: SparkSession, path: str, split: str, header_sizes: bool = True) -> DataFrame:
+    """Base records of one folder.
+
+    Sizes of images without a sidecar come from the image headers, which takes a pass over the
+    images; without `header_sizes` they are 0.
+    """
     return assemble_items(
         list_images(spark, path, split),
         read_annotations(spark, path),
         split,
-        image_dims(spark, path),
+        image_dims(spark, path) if header_sizes else None,
     )
 
 
-def load_splits(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+def load_splits(spark: SparkSession, paths: dict[str, str], header_sizes: bool = True) -> DataFrame:
     """Union of the splits whose folder exists, tagged with their name."""
-    splits = [load_split(spark, p, s) for s, p in paths.items() if path_exists(spark, p)]
+    splits = [load_split(spark, p, s, header_sizes) for s, p in paths.items() if path_exists(spark, p)]
     if not splits:
         return spark.createDataFrame([], BASE)
     return reduce(DataFrame.unionByName, splits)

@@ -1,5 +1,7 @@
 """Path checks through the file system Spark reads from."""
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -8,6 +10,12 @@ def _file_system(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+def plain_path(spark: SparkSession, path: str) -> str:
+    """Absolute form of a path as it starts the paths of the files below it."""
+    fs, jvm_path = _file_system(spark, path)
+    return re.sub(r"^file:/+", "/", fs.makeQualified(jvm_path).toString()).rstrip("/")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jvm_path = _file_system(spark, path)
     return fs.exists(jvm_path)

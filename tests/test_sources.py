@@ -39,6 +39,7 @@ def folder(tmp_path):
     (root / "a" / "one.xml").write_text(xml(objects=obj(BOX)))
     (root / "b" / "one.xml").write_text(xml(objects=obj(BOX) + obj("") + obj(BOX)))
     (root / "b" / "TWO.xml").write_text(xml(size=""))
+    (root / "rootless.xml").write_text(xml(objects=obj(BOX)))
     (root / "b" / "lonely.xml").write_text(xml(objects=obj("<bndbox><xmax>7</xmax></bndbox>")))
     return str(root)
 
@@ -66,6 +67,25 @@ def test_listing_reads_no_content(spark, folder):
     assert scan and all("content" not in line for line in scan)
 
 
+def test_odd_file_names(spark, tmp_path):
+    folder = tmp_path / "a"
+    folder.mkdir()
+    name = "50%25 a+b \u00e9"
+    (folder / f"{name}.png").write_bytes(png(3, 4, lambda x, y: (0, 0, 0)))
+    (folder / f"{name}.xml").write_text(xml(objects=obj(BOX)))
+    path = str(folder / name)
+    assert rows(images.list_images(spark, str(tmp_path)), "image_id", "image_path") == [(name, path + ".png")]
+    assert rows(images.image_dims(spark, str(tmp_path))) == [(path + ".png", 3, 4, True)]
+    assert rows(annotations.read_annotations(spark, str(tmp_path)), "image_id", "xml_path") == [(name, path + ".xml")]
+    assert images.list_images(spark, str(folder)).count() == 0
+    assert images.list_images(spark, f"file://{tmp_path}/").count() == 1
+
+
+def test_sizes_without_headers(spark, folder):
+    got = {r.image_id: (r.width, r.height) for r in items.load_split(spark, folder, "s", header_sizes=False).collect()}
+    assert got["one"] == (20, 10) and got["VS_P3"] == (0, 0)
+
+
 def test_dims_quarantine_junk(spark, folder):
     got = {r.image_path.rsplit("/", 1)[1]: (r.width, r.height, r.readable) for r in images.image_dims(spark, folder).collect()}
     assert got["one.png"] == (20, 10, True)
