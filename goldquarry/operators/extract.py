@@ -1,6 +1,7 @@
 """Extraction of the answer object from free model text."""
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -39,14 +40,14 @@ def _last_object(text: str) -> str | None:
             return json.dumps(whole)
     except (ValueError, RecursionError):
         pass
-    decoder, found = json.JSONDecoder(), None
-    start = text.find("{")
-    while start >= 0:
+    decoder, found, end = json.JSONDecoder(), None, 0
+    for brace in re.finditer(r"\{", text):
+        if brace.start() < end:
+            continue  # inside the object found last
         try:
-            found, end = decoder.raw_decode(text, start)
+            found, end = decoder.raw_decode(text, brace.start())
         except (ValueError, RecursionError):
-            end = start + 1
-        start = text.find("{", end)
+            continue
     return None if found is None else json.dumps(found)
 
 

@@ -19,11 +19,11 @@ def _pixels(row) -> np.ndarray:
 
 
 def luma(pixels: np.ndarray) -> np.ndarray:
-    """Grey levels 0..255 of BGR(A) or single-channel pixels, ITU-R 601 weights, rounded."""
+    """Grey levels 0..255 of BGR(A) or single-channel pixels, in 16-bit fixed point."""
     if pixels.shape[2] < 3:
         return pixels[..., 0].astype(float)
-    blue, green, red = (pixels[..., i].astype(float) for i in range(3))
-    return np.floor(0.299 * red + 0.587 * green + 0.114 * blue + 0.5)
+    weighted = pixels[..., 2::-1].astype(np.int64) @ np.array(fv.LUMA_WEIGHTS)
+    return ((weighted + fv.LUMA_SCALE // 2) // fv.LUMA_SCALE).astype(float)
 
 
 def sharpness(grey: np.ndarray) -> float:

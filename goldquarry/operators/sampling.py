@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from goldquarry import fixed_values as fv
 from goldquarry.functions.predicates import equals_all, holds
 from goldquarry.functions.text import sample_key
+from goldquarry.operators.joins import small_side
 
 # Hex digits of the sample key that name a slice.
 SLICE_DIGITS = 3
@@ -183,32 +184,34 @@ def build_query_set(
         F.struct(F.lit(False).alias("is_positive"), F.col("n_negative").alias("n")),
     )
     by_class = counts.join(F.broadcast(chosen), "position", "left_semi").select(
-        "_slice", "position", "query_id", "query_text", "start", F.inline(sides)
+        "_slice", "position", "start", F.inline(sides)
     )
     order = [F.col("_slice") < F.col("start"), F.col("_slice")]
     reached = (
         _reached(by_class, ["position", "is_positive"], order, F.lit(n_samples))
         .groupBy("_slice")
-        .agg(F.collect_list(F.struct("position", "query_id", "query_text", "is_positive", "left")).alias("takes"))
+        .agg(F.collect_list(F.struct("position", "is_positive", "left")).alias("takes"))
     )
+    most = 16**SLICE_DIGITS * query_set_bound(min(n_queries, len(templates)), 1)
     fits = F.filter(
         "takes", lambda t: F.get(F.array(*flags), t["position"]) == t["is_positive"]
     )
     members = (
-        rows.join(F.broadcast(reached), "_slice")
+        rows.join(small_side(reached, most), "_slice")
         .select("_slice", "_key", "image_id", F.explode(fits).alias("t"))
         .select("_slice", "_key", "image_id", "t.*")
     )
     # Copies of an id collapse, so a slice stays small whatever an id's share of the rows is.
-    group = ["query_id", "query_text", "is_positive", "left", "_slice"]
+    group = ["position", "is_positive", "left", "_slice"]
     copies = members.groupBy(*group, "_key", "image_id").agg(F.count(F.lit(1)).alias("n"))
     in_slice = Window.partitionBy(*group).orderBy("_key", "image_id")
     take = F.least(F.col("n"), F.col("left") - (F.sum("n").over(in_slice) - F.col("n")))
+    named = lambda part: F.get(F.array(*[F.lit(t[part]) for t in templates]), F.col("position"))
     return (
         copies.withColumn("take", take)
         .where(F.col("take") > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("take").cast("int"))))
-        .select("query_id", "query_text", "image_id", "is_positive")
+        .select(named(0).alias("query_id"), named(1).alias("query_text"), "image_id", "is_positive")
     )
 
 

@@ -11,14 +11,14 @@ class JobParams:
     """Row limits use 0 for "all rows" everywhere."""
 
     artifact_dir: str = "artifacts"
-    annotator: str = "gemini"
-    annotation_model: str = "gemini-3.1-flash-lite-preview"
-    models: tuple[str, ...] = ("gpt-5.5",)
+    annotator: str = fv.ANNOTATORS[0]
+    annotation_model: str = fv.ANNOTATION_MODEL
+    models: tuple[str, ...] = (fv.SCORING_MODEL,)
     max_curation_rows: int = 0
     max_augmentation_rows: int = 0
     max_eval_rows: int = 0
     force_refresh: bool = False
-    requests_per_minute: int = 15
+    requests_per_minute: int = fv.REQUESTS_PER_MINUTE
     coverage_min_count: int = fv.COVERAGE_MIN_COUNT
     n_queries: int = fv.QUERY_COUNT
     n_samples: int = fv.QUERY_SAMPLES
