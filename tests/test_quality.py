@@ -43,6 +43,18 @@ def test_first_n_is_ordered(spark):
     assert quality.first_n(df, 0).count() == 3
 
 
+def test_large_caps_take_the_same_rows(spark, monkeypatch):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "k0700").when(F.col("id") > 4, F.format_string("k%04d", "id")).alias("image_id")
+    )
+    keys = sorted((r[0] for r in df.collect()), key=lambda k: k or "")
+    monkeypatch.setattr(quality, "HEAD_ROWS", 10)
+    monkeypatch.setattr(quality, "KEY_MARKS", 100)
+    for n in (11, 600, 1000, 1700, 2990, 3000, 4000):
+        got = sorted((r[0] for r in quality.first_n(df, n).collect()), key=lambda k: k or "")
+        assert got == keys[:n], n
+
+
 COLUMNS = {
     "normal": lambda rng, n: rng.normal(5, 3, n),
     "hot": lambda rng, n: np.where(rng.random(n) < 0.4, 7.0, rng.random(n) * 20),
