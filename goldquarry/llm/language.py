@@ -249,7 +249,7 @@ def fit_languages(docs: DataFrame, text="text", lang="lang", sample_key="doc_id"
 
 
 PREDICTED = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-SPANS = "array<struct<start:bigint,end:bigint,lang:string>>"
+SPANS = T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("lang", "string"))
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
 
 
