@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from goldquarry.llm import (
     chat_format,
     decontaminate,
+    embeddings,
     language,
     licenses,
+    minhash,
     packing,
     url_filter,
 )
@@ -168,3 +170,13 @@ def op7_decontamination(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op2_minhash_dedup")
+def op2_minhash_dedup(spark, sf_dir):
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op8_embedding_dedup")
+def op8_embedding_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
