@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from goldquarry.llm.common import row_keys, stage
-from goldquarry.llm.kernels import LETTERS_AND_DIGITS, U64, run_hashes, signed, sliding_min, text_slices, word_hashes
+from goldquarry.llm.kernels import LETTERS_AND_DIGITS, U64, run_hashes, signed, text_slices, winnowed, word_hashes
 
 WINDOW_WORDS = 10
 GRAM_WORDS = 5
@@ -21,27 +21,11 @@ GRAMS_PER_WINDOW = WINDOW_WORDS - GRAM_WORDS + 1
 REACH = WINDOW_WORDS - GRAM_WORDS
 CONTEXT_WORDS = 2 * REACH + GRAM_WORDS
 FILTER_BITS = 23
-NEVER = U64(0xFFFFFFFFFFFFFFFF)
 
 
 def _positions(hashes: np.ndarray, first: np.ndarray):
     """Kept grams of texts of at least ten words: index of the first word, and the hash."""
-    grams = run_hashes(hashes, GRAM_WORDS)
-    n = len(grams) - GRAMS_PER_WINDOW + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    least = sliding_min(grams, GRAMS_PER_WINDOW)
-    at = np.zeros(n, np.int64)
-    for j in range(GRAMS_PER_WINDOW):
-        here = grams[j : j + n] == least
-        at[here] = np.flatnonzero(here) + j
-    # Windows that begin in one text and end in another don't count.
-    across = (first[1:-1, None] - np.arange(1, WINDOW_WORDS)).ravel()
-    inside = np.ones(len(hashes) + 1, bool)
-    inside[across[across >= 0]] = False
-    at = at[inside[:n]]
-    at = at[np.append(True, at[1:] != at[:-1])] if len(at) else at
-    return at, grams[at]
+    return winnowed(hashes, first, GRAM_WORDS, GRAMS_PER_WINDOW)
 
 
 def _contexts(hashes, first, at, pad: int) -> np.ndarray:

@@ -149,6 +149,29 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
+def winnowed(hashes: np.ndarray, first: np.ndarray, words: int, grams: int):
+    """Of every window of `grams` runs of `words` words within a text, the rightmost smallest one.
+
+    Index of the run's first word, and its hash; texts shorter than a window have none.
+    """
+    runs = run_hashes(hashes, words)
+    n = len(runs) - grams + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    least = sliding_min(runs, grams)
+    at = np.zeros(n, np.int64)
+    for j in range(grams):
+        here = np.flatnonzero(runs[j : j + n] == least)
+        at[here] = here + j
+    # Windows that begin in one text and end in another don't count.
+    across = (first[1:-1, None] - np.arange(1, words + grams - 1)).ravel()
+    inside = np.ones(len(hashes) + 1, bool)
+    inside[across[across >= 0]] = False
+    at = at[inside[:n]]
+    at = at[np.append(True, at[1:] != at[:-1])] if len(at) else at
+    return at, runs[at]
+
+
 def ranges(starts, lengths) -> np.ndarray:
     """All numbers of the ranges [start, start + length), one after another."""
     lengths = np.asarray(lengths, np.int64)

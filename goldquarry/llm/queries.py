@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldquarry.llm import (
+    chaining,
     chat_format,
     decontaminate,
     embeddings,
@@ -13,6 +14,7 @@ from goldquarry.llm import (
     licenses,
     minhash,
     packing,
+    suffix_dedup,
     url_filter,
 )
 
@@ -180,3 +182,14 @@ def op2_minhash_dedup(spark, sf_dir):
 @query("op8_embedding_dedup")
 def op8_embedding_dedup(spark, sf_dir):
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
+    return kept.drop("kept")
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark, sf_dir):
+    return chaining.repeated_passages(read(spark, sf_dir, "documents"))

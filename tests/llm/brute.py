@@ -62,3 +62,27 @@ def near_vectors(rows, cosine=0.93):
                 degree[b] += 1
     found = components([r[0] for r in rows], links)
     return {k: (degree[k], found[k]) for k in degree}
+
+
+def without_repeats(docs, k=50):
+    """Sorted (doc_id, n_bytes, n_removed, n_spans, kept_sha256) of pairs (doc_id, text)."""
+    import hashlib
+
+    least = {}
+    for d, text in docs:
+        data = (text or "").encode()
+        for i in range(len(data) - k + 1):
+            s = data[i : i + k]
+            least[s] = min(least.get(s, d), d)
+    out = []
+    for d, text in docs:
+        data = (text or "").encode()
+        gone = np.zeros(len(data) + 1, bool)
+        for i in range(len(data) - k + 1):
+            if least[data[i : i + k]] < d:
+                gone[i : i + k] = True
+        gone = gone[: len(data)]
+        kept = bytes(b for b, g in zip(data, gone.tolist()) if not g)
+        spans = int((np.diff(np.append(0, gone.astype(int))) == 1).sum())
+        out.append((d, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
