@@ -27,7 +27,6 @@ def row_keys():
     return itertools.count(TaskContext.get().partitionId() << 40)
 
 
-def parts_for(df: DataFrame, rows: int, rows_per_part: int, least: int = 1) -> int:
-    """Number of partitions that keeps each at about `rows_per_part` rows."""
-    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, default, -(-rows // rows_per_part))
+def parts_for(df: DataFrame, size: int, size_per_part: int) -> int:
+    """Number of parts of at most about `size_per_part`, and at least as many as a shuffle has."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // size_per_part))

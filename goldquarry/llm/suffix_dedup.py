@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from goldquarry.llm.blobs import DEALT, dealt, doc_bucket, light, pack_columns, unpack_columns
-from goldquarry.llm.common import stage
+from goldquarry.llm.common import parts_for, stage
 from goldquarry.llm.kernels import Rolling, U64, merged, mix, ranges, sliding_min, text_slices
 from goldquarry.llm.run_index import RunIndex, ragged
 
@@ -297,8 +297,7 @@ def remove_repeats(docs: DataFrame, doc="doc_id", text="text", keep_columns=Fals
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = rows.where("doc_id is not null")
     size = ordered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, -(-size // BUCKET_BYTES))
+    buckets = parts_for(docs, size, BUCKET_BYTES)
     cut = ordered.mapInArrow(_cut(buckets), DEALT)
     met = stage(cut.groupBy("kind", "bucket").applyInArrow(_pass_or_meet(buckets), DEALT), "passages-met")
     by_doc = "doc_id long, crc long, rows binary"
