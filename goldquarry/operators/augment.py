@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from goldquarry import fixed_values as fv
 from goldquarry.functions.labels import recode
 from goldquarry.functions.text import cache_key, content_b64
-from goldquarry.operators.joins import salted_join, small_side, split_cached
+from goldquarry.operators.joins import salted_join, small_side
 from goldquarry.operators.quality import first_n
 
 
@@ -62,7 +62,9 @@ def edit_outcomes(
         F.min(F.struct("image_id", "image_path", "prompt")).alias("r")
     ).select("key", "r.*")
     if cache is not None:
-        _, open_requests = split_cached(open_requests, cache.select("key", "status"), "key")
+        # Failed edits are tried again. Keys are distinct on both sides, so no key is hot.
+        cache = cache.where(F.col("status") == "ok").select("key", "status").distinct()
+        open_requests = open_requests.join(cache.select("key"), "key", "left_anti")
     if content_of is not None:
         open_requests = open_requests.join(content_of, "image_path", "left")
 
@@ -73,9 +75,7 @@ def edit_outcomes(
     if parallelism:
         open_requests = open_requests.repartition(parallelism)
     new = store(open_requests.mapInPandas(run, "key string, status string"))
-    known = new if cache is None else new.unionByName(cache.select("key", "status"))
-    # A repeated key keeps its successful outcome, which sorts after "failed: ...".
-    return known.groupBy("key").agg(F.max("status").alias("status")), new
+    return new if cache is None else new.unionByName(cache), new
 
 
 def _statuses(editor: Callable, batch: pd.DataFrame) -> list:
@@ -98,14 +98,15 @@ def variant_candidates(
     max_rows: int = 0,
     parallelism: int | None = None,
     store: Callable[[DataFrame], DataFrame] = lambda new: new,
+    keep: Callable[[DataFrame], None] = lambda new: None,
 ) -> DataFrame:
     """One prompted variant row per source row and prompt, failed ones included.
 
     `contents` (image_path, content) gives the bytes the cache key is made of; without it the
     path stands for the content. Contents are read where they lie: only digests, one per
     prompt, move. `store` writes a table and returns the written one; it is applied to the
-    digests and to the new outcomes, so that neither is computed twice. A candidate is
-    synthetic exactly if its edit succeeded.
+    digests and to the new outcomes, so that neither is computed twice. `keep` gets the stored new
+    outcomes (key, status), for the `cache` of the next run. A candidate is synthetic exactly if its edit succeeded.
     """
     prompts = fv.VARIANT_PROMPTS if prompts is None else prompts
     requests = variant_requests(df, prompts, max_rows)
@@ -127,7 +128,7 @@ def variant_candidates(
         )
         digests = store(digests)
         keyed = requests.join(digests, ["image_path", "prompt"], "left")
-    outcomes, _ = edit_outcomes(
+    outcomes, new = edit_outcomes(
         keyed.where(F.col("key").isNotNull()).select("key", "image_id", "image_path", "prompt"),
         editor,
         cache,
@@ -135,6 +136,7 @@ def variant_candidates(
         parallelism,
         store,
     )
+    keep(new)
     # Copies of one content share a key, so the join back spreads hot keys.
     joined = salted_join(keyed, outcomes, "key", spread=F.xxhash64("image_id"))
     status = F.coalesce("status", F.lit("failed: no content"))

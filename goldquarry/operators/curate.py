@@ -65,4 +65,4 @@ def apply_edits(
 def unmatched_edits(df: DataFrame, edits: DataFrame, keys=("image_id",)) -> DataFrame:
     """Keys of edits that name no row."""
     keys = list(keys)
-    return edits.select(*keys).distinct().join(df.select(*keys), keys, "left_anti")
+    return edits.select(*keys).distinct().join(df.select(*keys).distinct(), keys, "left_anti")

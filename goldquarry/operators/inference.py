@@ -16,7 +16,7 @@ from goldquarry.functions.geometry import visibility_bucket
 from goldquarry.functions.labels import coerce_enum, coerce_labels, curation_status, grade, retrieved
 from goldquarry.functions.text import curation_prompt, retrieval_prompt
 from goldquarry.operators.extract import extract_json
-from goldquarry.operators.joins import salted_join, small_side, split_cached, unique_rows
+from goldquarry.operators.joins import salted_join, small_side, unique_rows
 from goldquarry.operators.sampling import with_models
 
 ANSWER = (
@@ -36,9 +36,13 @@ def _answers(responder: Callable, batch: pd.DataFrame) -> pd.DataFrame:
         return pd.concat(rows)
 
 
-def run_responder(requests: DataFrame, responder: Callable, parallelism: int | None = None) -> DataFrame:
+def run_responder(
+    requests: DataFrame, responder: Callable, parallelism: int | None = None, hidden: tuple[str, ...] = ()
+) -> DataFrame:
     """Requests with `raw_text` and `error`; request content is not returned.
 
+    The responder doesn't see the `hidden` columns.
+
     `parallelism` fixes the number of concurrent tasks, for slow calls over few rows.
     """
     kept = [f for f in requests.schema.fields if f.dataType != T.BinaryType()]
@@ -49,7 +53,7 @@ def run_responder(requests: DataFrame, responder: Callable, parallelism: int | N
 
     def run(batches):
         for batch in batches:
-            yield batch[names].join(_answers(responder, batch))
+            yield batch[names].join(_answers(responder, batch.drop(columns=list(hidden))))
 
     if parallelism:
         requests = requests.repartition(parallelism)
@@ -63,13 +67,18 @@ def request_key(image_id: Column, model: str, prompt: Column, schema_version: st
 
 
 def valid_responses(responses: DataFrame) -> DataFrame:
-    """Stored responses that can be reused, parsed: rows (request_key, raw_text, json, parse_status)."""
-    has_blur = F.array_contains(F.json_object_keys("json"), "blur_bucket")
-    return (
-        extract_json(responses.where(F.col("error").isNull()), "raw_text")
-        .where(has_blur)
-        .select("request_key", "raw_text", "json", "parse_status")
+    """Stored responses that can be reused, parsed: the newest answer of each request that holds an object.
+
+    Fields the object lacks get their defaults like those of any answer, so they are no reason to ask
+    again. Responses without a time are older than all others.
+    """
+    if "answered_at" not in responses.columns:
+        responses = responses.withColumn("answered_at", F.lit(None).cast("timestamp"))
+    parsed = extract_json(responses.where(F.col("error").isNull()), "raw_text")
+    parsed = parsed.where(F.col("json").isNotNull()).select(
+        "request_key", "raw_text", "json", "parse_status", "answered_at"
     )
+    return unique_rows(parsed, "request_key", last_by="answered_at")
 
 
 def normalise_annotation(
@@ -144,19 +153,20 @@ def annotate(
         F.lit(schema_version).alias("schema_version"),
     ).dropDuplicates(["request_key"])
     cached = None
-    if responses is not None:
+    if responses is not None and not refresh:
         cached = valid_responses(responses)
-        _, requests = split_cached(requests, cached, "request_key", refresh)
+        # Request keys are distinct on both sides, so no key is hot.
+        requests = requests.join(cached.select("request_key"), "request_key", "left_anti")
     if images is not None:
         requests = requests.join(images.select("image_path", "content"), "image_path", "left")
     new = run_responder(requests, responder, parallelism).select(
-        "request_key", "image_id", "model", "schema_version", "raw_text", "error"
+        "request_key", "image_id", "model", "schema_version", "raw_text", "error", F.current_timestamp().alias("answered_at")
     )
     new = store(new)
-    answers = extract_json(new, "raw_text").select("request_key", "raw_text", "json", "parse_status")
-    if cached is not None and not refresh:
-        answers = answers.unionByName(cached)
-    answers = unique_rows(answers, "request_key", last_by="raw_text").drop("raw_text")
+    # Cached requests were not asked again, so every request has one answer.
+    answers = extract_json(new, "raw_text").select("request_key", "json", "parse_status")
+    if cached is not None:
+        answers = answers.unionByName(cached.select("request_key", "json", "parse_status"))
     joined = salted_join(keyed, answers, "request_key").drop("request_key")
     annotated = normalise_annotation(joined, annotator, model, schema_version)
     return annotated.drop("json").withColumnRenamed("parse_status", "annotation_status"), new
@@ -175,8 +185,8 @@ def score_frames(
 ) -> DataFrame:
     """One graded result per (model, query, frame) of the query set.
 
-    The responder sees model, query_id, query_text, image_id, is_positive, image_path, prompt
-    and, with `images` (image_path, content), content. Frames that are not in `items`, or with
+    The responder sees model, query_id, query_text, image_id, image_path, prompt and, with `images`
+    (image_path, content), content, but not whether the frame is a positive. Frames that are not in `items`, or with
     `images` or a `listing` have no file, are left out (see `skipped_frames`); if an id repeats
     in `items` the row with the largest path counts. Failed calls count as uncertain and keep their `error`. `max_rows` is
     a proven bound on the size of the query set, if there is one.
@@ -198,7 +208,7 @@ def score_frames(
     requests = with_models(frames, models).withColumn(
         "prompt", retrieval_prompt(F.col("query_text"))
     )
-    raw = store(run_responder(requests, responder, parallelism).drop("prompt"))
+    raw = store(run_responder(requests, responder, parallelism, hidden=("is_positive",)).drop("prompt"))
     return grade_results(raw)
 
 
@@ -220,8 +230,18 @@ def grade_results(raw: DataFrame) -> DataFrame:
     )
 
 
-def skipped_frames(query_set: DataFrame, items: DataFrame, listing: DataFrame | None = None) -> DataFrame:
-    """Sampled frames without a row, or without a file, that scoring leaves out."""
+def skipped_frames(
+    query_set: DataFrame, items: DataFrame, listing: DataFrame | None = None, max_rows: int | None = None
+) -> DataFrame:
+    """Sampled frames without a row, or without a file, that scoring leaves out.
+
+    The items and the listing are only scanned: they are first reduced to what was sampled.
+    """
+    wanted = query_set.select("query_id", "image_id")
+    found = items.join(small_side(wanted.select("image_id").distinct(), max_rows), "image_id", "left_semi")
+    found = found.select("image_id", "image_path") if listing is not None else found.select("image_id")
     if listing is not None:
-        items = items.join(listing.select("image_path"), "image_path", "left_semi")
-    return query_set.select("query_id", "image_id").join(items.select("image_id"), "image_id", "left_anti")
+        paths = small_side(found.select("image_path").distinct(), max_rows)
+        there = listing.join(paths, "image_path", "left_semi").select("image_path").distinct()
+        found = found.join(small_side(there, max_rows), "image_path", "left_semi").select("image_id")
+    return wanted.join(found.distinct(), "image_id", "left_anti")

@@ -54,7 +54,8 @@ def salted_join(
         ]
         spread = F.xxhash64(*scalars)
     hot = F.broadcast(hot_keys(left, key).distinct().withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    # Null keys match nothing, so their rows may go anywhere.
+    salt = F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(spread, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     all_salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
@@ -163,4 +164,4 @@ def check_unique(df: DataFrame, key: str) -> DataFrame:
 
 def check_refs(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Keys of `df` without a row in `other`."""
-    return df.select(key).distinct().join(other.select(key), key, "left_anti")
+    return df.select(key).distinct().join(other.select(key).distinct(), key, "left_anti")

@@ -54,42 +54,22 @@ def facet_filter(df: DataFrame, choices: dict) -> DataFrame:
     return df.where(facet_predicate(df, choices))
 
 
-# Row caps up to which the first rows are picked directly, and keys looked at for larger ones.
-HEAD_ROWS = 10_000
-KEY_MARKS = 10_000
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row that can be hashed."""
+    return F.xxhash64(*[f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])
 
 
 def first_n(df: DataFrame, n: int, key: str = "image_id") -> DataFrame:
     """The first n rows by key, null keys first; 0 means all rows.
 
-    Few rows are picked directly. For a large cap a sample of keys gives possible cuts near the
-    wanted one and one aggregate counts the rows up to each: rows up to the last cut below the
-    cap are taken by a plain filter, and only the few between two cuts are ordered. The sample
-    affects how many those are, never the result.
+    Rows with the same key follow each other by a hash of the whole row, so the choice depends on
+    nothing but the rows. One plan for every n, and nothing runs while it is built: every task keeps
+    its first n rows, and one takes the first n of those. n is a cap on rows that people look at or
+    pay for; a share of a large table is what `sampling.balanced_sample` is for.
     """
     if n == 0:
         return df
-    if n <= HEAD_ROWS:
-        return df.orderBy(key).limit(n)
-    total = df.count()
-    if n >= total:
-        return df
-    k = F.col(key)
-    sample = df.select(key).where(k.isNotNull()).sample(min(1.0, KEY_MARKS / total), seed=fv.SAMPLE_SEED)
-    marks = sorted({row[0] for row in sample.collect()})
-    middle = len(marks) * n // total
-    marks = marks[max(middle - 200, 0) : middle + 200 : 4]
-    upto = lambda mark: k.isNull() | (k <= F.lit(mark))
-    counts = df.agg(*[F.count_if(upto(m)).alias(f"n{i}") for i, m in enumerate(marks)]).first() if marks else ()
-    below = [(m, c) for m, c in zip(marks, counts) if c <= n]
-    above = [m for m, c in zip(marks, counts) if c > n]
-    rest = df.where(upto(above[0])) if above else df
-    if not below:
-        return rest.orderBy(key).limit(n)
-    last, taken = below[-1]
-    return df.where(upto(last)).unionByName(
-        rest.where(k > F.lit(last)).orderBy(key).limit(n - taken)
-    )
+    return df.orderBy(F.col(key).asc_nulls_first(), row_hash(df)).limit(n)
 
 
 def _long(df: DataFrame, columns: dict) -> DataFrame:

@@ -18,9 +18,6 @@ from goldquarry.operators.joins import small_side
 
 # Hex digits of the sample key that name a slice.
 SLICE_DIGITS = 3
-# Spark drops ranks above a literal before the shuffle up to this rank
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-PRUNED_RANKS = 1000
 # Sub-groups over which the rows of slices that are taken whole are spread.
 SPREAD = 64
 
@@ -82,8 +79,6 @@ def balanced_sample(
     spread = F.when(F.col("n") <= F.col("left"), F.pmod(F.hash("_key"), F.lit(SPREAD))).otherwise(-1)
     in_slice = Window.partitionBy("_class", "_slice", spread).orderBy("_key", key)
     ranked = taken.withColumn("_rank", F.row_number().over(in_slice))
-    if max_rows <= PRUNED_RANKS:
-        ranked = ranked.where(F.col("_rank") <= max_rows)
     return ranked.where(F.col("_rank") <= F.col("left")).select(*df.columns)
 
 

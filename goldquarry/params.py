@@ -18,7 +18,6 @@ class JobParams:
     max_augmentation_rows: int = 0
     max_eval_rows: int = 0
     force_refresh: bool = False
-    requests_per_minute: int = fv.REQUESTS_PER_MINUTE
     coverage_min_count: int = fv.COVERAGE_MIN_COUNT
     n_queries: int = fv.QUERY_COUNT
     n_samples: int = fv.QUERY_SAMPLES

@@ -165,3 +165,26 @@ def cache_hits_misses(spark, sf):
     labelled = fr.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("image_id"))
     cache = requests.join(labelled, "image_id", "left_semi").select("key", F.lit("ok").alias("status"))
     return with_cached(requests, cache, "key").select("image_id", "key", "hit")
+
+
+@query(
+    "edit_retry",
+    f"""WITH asked AS (SELECT CAST(doc_id AS VARCHAR) AS image_id, substr(sha256(base64(encode(text))), 1, 16) AS key FROM documents),
+    edits AS (SELECT key, substr(min(image_id), -1) IN ('1', '2') AS cached_ok, substr(key, 1, 1) NOT IN ('0', '4', '8', 'c') AS edited FROM asked GROUP BY key)
+    SELECT key, CASE WHEN cached_ok OR edited THEN 'ok' ELSE 'failed: refused' END AS status, NOT cached_ok AS asked_again FROM edits""",
+)
+def edit_retry(spark, sf):
+    """Edits of which some have succeeded before, some have failed and some were never tried."""
+    documents = fr.table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("image_id"),
+        F.substring(F.sha2(content_b64(F.col("text").cast("binary")).cast("binary"), 256), 1, 16).alias("key"),
+    )
+    requests = documents.select("key", "image_id", F.lit("/p").alias("image_path"), F.lit("prompt").alias("prompt"))
+    last = F.substring(F.min("image_id"), -1, 1)
+    cache = requests.groupBy("key").agg(last.alias("d")).where("d < '5'").select(
+        "key", F.when(F.col("d").isin("1", "2"), "ok").otherwise("failed: timeout").alias("status")
+    )
+    outcomes, new = augment.edit_outcomes(requests, edit_by_digest, cache, store=lambda df: store_stage(df, "edits"))
+    return outcomes.join(new.select("key", F.lit(True).alias("asked_again")), "key", "left").withColumn(
+        "asked_again", F.coalesce("asked_again", F.lit(False))
+    )

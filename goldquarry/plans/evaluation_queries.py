@@ -141,7 +141,7 @@ def annotate_job(spark, sf):
         "image_id",
         F.lit("model-a").alias("model"),
         F.lit(fv.SCHEMA_VERSION).alias("schema_version"),
-        F.when(F.col("toxic") == 0, usable).otherwise('{"background": "trees"}').alias("raw_text"),
+        F.when(F.col("toxic") == 0, usable).otherwise("no object here").alias("raw_text"),
         F.lit(None).cast("string").alias("error"),
     )
     annotated, _ = inference.annotate(bare, annotate_by_digest, "model-a", responses=stored)
@@ -153,6 +153,27 @@ def annotate_job(spark, sf):
     )
 
 
+@query(
+    "annotate_refreshed",
+    f"""WITH {ov.FRAMES}
+    SELECT image_id, 'building' AS background, 'sharp' AS blur_bucket, 'ok' AS annotation_status FROM frames""",
+)
+def annotate_refreshed(spark, sf):
+    """Two stored answers per item, the newer one sorting first and without most fields; nothing is asked."""
+    items = fr.frames(spark, sf).select(
+        "image_id", "image_path", "width", "height", "drone_present", "bbox", "box_count", "source_split"
+    )
+    prompt = inference.curation_prompt(F.col("image_id"), F.col("drone_present"), F.col("box_count"))
+    key = inference.request_key(F.col("image_id"), "model-a", prompt, fv.SCHEMA_VERSION)
+    answers = [("trees", "2024-01-01"), ("building", "2024-01-02")]
+    stored = items.select(key.alias("request_key"), "image_id", F.explode(F.array(*[
+        F.struct(F.lit(f'{{"background": "{b}"}}').alias("raw_text"), F.lit(day).cast("timestamp").alias("answered_at"))
+        for b, day in answers
+    ])).alias("a")).select("request_key", "image_id", F.lit(None).cast("string").alias("error"), "a.*")
+    annotated, _ = inference.annotate(items, annotate_by_digest, "model-a", responses=stored)
+    return annotated.select("image_id", "background", "blur_bucket", "annotation_status")
+
+
 def scored(pool):
     """(query set, results) of both models over a pool of items; query set and answers are stored."""
     chosen = store_stage(sampling.build_query_set(pool, n_queries=N_QUERIES), "query_set")
@@ -178,7 +199,7 @@ def _scores_sql(source: str) -> str:
     graded AS (
       SELECT model, query_id, query_text, image_id, is_positive,
         CASE WHEN {digit} IN ('0','1','2','3','4','5','6','7')
-               THEN CASE WHEN is_positive THEN 'definitely yes' ELSE 'definitely no' END
+               THEN CASE WHEN substr(md5(image_id || '|' || query_id), 1, 1) < '8' THEN 'definitely yes' ELSE 'definitely no' END
              WHEN {digit} IN ('8','9','a','b') THEN 'probably yes'
              WHEN {digit} IN ('c','d') THEN 'probably no' ELSE 'uncertain' END AS graded_response
       FROM query_set, (VALUES ('model-a'), ('model-b')) m(model)
@@ -229,7 +250,8 @@ def skipped_frames(spark, sf):
     pool = fr.frames(spark, sf)
     chosen = sampling.build_query_set(pool, n_queries=N_QUERIES)
     listing = pool.where(F.col("xml_path").isNotNull()).select("image_path")
-    return inference.skipped_frames(chosen, pool, listing).select("query_id", "image_id")
+    bound = sampling.query_set_bound(N_QUERIES)
+    return inference.skipped_frames(chosen, pool, listing, bound).select("query_id", "image_id")
 
 
 METRICS_SQL = f"""

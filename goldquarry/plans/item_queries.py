@@ -269,18 +269,18 @@ def grade_responses(spark, sf):
     )
 
 
+RETRIEVAL_PROMPT_SQL = " || source_split || ".join(
+    "'" + part.replace("'", "''") + "'" for part in fv.RETRIEVAL_PROMPT.split("{query}")
+)
+
+
 @query(
     "prompt_render",
     f"""WITH {ov.FRAMES}
     SELECT image_id, '{{"image_id": "' || image_id || '", "ground_truth_drone_present": "'
            || CASE WHEN drone_present THEN 'yes' ELSE 'no' END || '", "ground_truth_box_count": '
            || box_count || '}}' AS context,
-           md5('You are reviewing drone surveillance footage for a perimeter security team.' || chr(10) || chr(10)
-               || 'Query: "' || source_split || '"' || chr(10) || chr(10)
-               || 'Does this image match the query? Respond with exactly one of the following options:' || chr(10)
-               || '- definitely yes' || chr(10) || '- probably yes' || chr(10) || '- uncertain' || chr(10)
-               || '- probably no' || chr(10) || '- definitely no' || chr(10) || chr(10)
-               || 'Respond with only your chosen option, nothing else.') AS retrieval_prompt_md5
+           md5({RETRIEVAL_PROMPT_SQL}) AS retrieval_prompt_md5
     FROM frames""",
 )
 def prompt_render(spark, sf):
@@ -291,6 +291,22 @@ def prompt_render(spark, sf):
     )
 
 
+@query("first_rows", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100")
+def first_rows(spark, sf):
+    return quality.first_n(fr.table(spark, sf, "documents"), 100, "doc_id").select("doc_id", "lang")
+
+
+@query(
+    "first_rows_large",
+    """SELECT l_orderkey, count(*) AS n FROM (SELECT l_orderkey FROM lineitem ORDER BY l_orderkey LIMIT 20000)
+       GROUP BY l_orderkey""",
+)
+def first_rows_large(spark, sf):
+    """Keys repeat, so the last one is cut; which of its rows come first is a matter of the rows' hashes."""
+    rows = quality.first_n(fr.table(spark, sf, "lineitem"), 20_000, "l_orderkey")
+    return rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "missing_values",
     """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN FALSE WHEN 1 THEN FALSE WHEN 2 THEN FALSE WHEN 3 THEN FALSE

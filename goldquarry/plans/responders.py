@@ -11,12 +11,12 @@ def digit(*parts: str) -> str:
 
 
 def grade_by_digest(requests: pd.DataFrame) -> list:
-    """Mostly right answers, some hedged ones, some useless ones and some failed calls (None)."""
+    """Decided, hedged and useless answers and failed calls (None), from the names of model, query and frame."""
     answers = []
     for r in requests.itertuples():
         d = digit(r.model, r.query_id, r.image_id)
         if d in "01234567":
-            answers.append("Definitely yes." if r.is_positive else "definitely not")
+            answers.append("Definitely yes." if digit(r.image_id, r.query_id) in "01234567" else "definitely not")
         elif d in "89ab":
             answers.append("I would say: probably yes")
         elif d in "cd":

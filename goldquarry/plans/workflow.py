@@ -13,7 +13,7 @@ from goldquarry.operators import augment, coverage, curate as edits, evaluate, i
 from goldquarry.operators.pixels import image_stats
 from goldquarry.operators.quality import describe, histogram, kept_dropped, quality_filter, quality_predicate
 from goldquarry.params import JobParams
-from goldquarry.schema import CURATED, GOLDEN
+from goldquarry.schema import CURATED, GOLDEN, RESPONSES
 from goldquarry.sources.artifacts import export_coverage, load_dataset, write_dataset, write_run
 from goldquarry.sources.items import load_splits
 from goldquarry.sources.paths import path_exists
@@ -51,7 +51,7 @@ def curate(
         _stored(spark, params, "raw"), "drone_present", params.max_curation_rows, seed=params.seed
     )
     kept = f"{params.artifact_dir}/{params.annotator}_responses"
-    responses = spark.read.parquet(kept) if path_exists(spark, kept) else None
+    responses = spark.read.schema(RESPONSES).parquet(kept) if path_exists(spark, kept) else None
     annotated, new = inference.annotate(
         items,
         responder,
@@ -63,8 +63,9 @@ def curate(
         parallelism=parallelism,
         store=lambda df: store_stage(df, "responses"),
     )
-    write_dataset(_in_schema(annotated, CURATED), params.artifact_dir, "curated")
+    # Paid answers are kept before anything else can fail.
     new.where(F.col("error").isNull()).write.mode("append").parquet(kept)
+    write_dataset(_in_schema(annotated, CURATED), params.artifact_dir, "curated")
     return _stored(spark, params, "curated")
 
 
@@ -102,7 +103,9 @@ def augment_golden(
     contents: DataFrame | None = None,
     parallelism: int | None = None,
 ) -> DataFrame:
-    """Golden positives -> candidates with lineage."""
+    """Golden positives -> candidates with lineage. Successful edits are kept and reused by the next run."""
+    kept = f"{params.artifact_dir}/edits"
+    cache = spark.read.schema("key string, status string").parquet(kept) if path_exists(spark, kept) else None
     targets = augment.positives(_stored(spark, params, "golden"))
     out = f"{params.artifact_dir}/augmented"
     blur = augment.blur_candidates(targets, f"{out}/blur", params.max_augmentation_rows)
@@ -110,10 +113,12 @@ def augment_golden(
         targets,
         editor,
         f"{out}/weather",
+        cache=cache,
         contents=contents,
         max_rows=params.max_augmentation_rows,
         parallelism=parallelism,
         store=lambda df: store_stage(df, "variants"),
+        keep=lambda new: new.where("status = 'ok'").write.mode("append").parquet(kept),
     )
     candidates = augment.candidate_union(augment.patch_labels(blur), augment.patch_labels(variants))
     write_dataset(candidates, params.artifact_dir, "augmented")

@@ -53,7 +53,13 @@ GOLDEN = T.StructType(CURATED.fields + STATS.fields)
 AUGMENTED = T.StructType(GOLDEN.fields + _struct(augment_label=_S, openai_augment_status=_S).fields)
 
 RESPONSES = _struct(
-    request_key=_S, image_id=_S, model=_S, schema_version=_S, raw_text=_S, error=_S
+    request_key=_S,
+    image_id=_S,
+    model=_S,
+    schema_version=_S,
+    raw_text=_S,
+    error=_S,
+    answered_at=T.TimestampType(),
 )
 
 FRAME_RESULTS = _struct(

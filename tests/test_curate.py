@@ -52,7 +52,16 @@ def test_unusable_responses_are_asked_again(spark):
         "raw_text", F.when(F.col("image_id") == "a", '{"background": "sky"}').when(F.col("image_id") == "b", "junk").otherwise(F.col("raw_text"))
     )
     _, new = inference.annotate(items(spark, "abc"), answer, "m", responses=damaged)
-    assert rows(new, "image_id") == [("a",), ("b",)]
+    assert rows(new, "image_id") == [("b",)]
+
+
+def test_the_newest_answer_counts(spark):
+    _, first = inference.annotate(items(spark, "ab"), answer, "m", store=lambda df: store_stage(df, "r"))
+    other = lambda batch: ['{"background": "building"}'] * len(batch)
+    _, second = inference.annotate(items(spark, "a"), other, "m", responses=first, refresh=True, store=lambda df: store_stage(df, "r"))
+    never = lambda batch: 1 / 0
+    out, new = inference.annotate(items(spark, "ab"), never, "m", responses=first.unionByName(second))
+    assert new.count() == 0 and dict(rows(out, "image_id", "background"))["a"] == "building"
 
 
 def test_repeated_items_are_asked_once(spark):
