@@ -83,6 +83,27 @@ def xml_boxes(spark, sf):
     )
 
 
+@query(
+    "xml_quarantine",
+    """SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_linenumber IN (2, 3) THEN 'unreadable annotation' END AS xml_error,
+         CASE WHEN l_linenumber NOT IN (2, 3) THEN CAST(l_partkey AS INTEGER) END AS width,
+         CASE WHEN l_linenumber NOT IN (2, 3) THEN 1 END AS n_boxes
+       FROM lineitem""",
+)
+def xml_quarantine(spark, sf):
+    """Annotations of which some are cut off and some hold a word where a number belongs."""
+    corner = F.when(F.col("l_linenumber") == 2, "abc").otherwise(F.col("l_quantity").cast("string"))
+    whole = F.concat(
+        F.lit("<annotation><size><width>"), F.col("l_partkey").cast("string"), F.lit("</width><height>9</height></size>"),
+        F.lit("<object><bndbox><xmin>"), corner, F.lit("</xmin></bndbox></object></annotation>"),
+    )
+    xml = F.when(F.col("l_linenumber") == 3, F.substring(whole, 1, 60)).otherwise(whole)
+    lines = fr.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", xml.alias("xml"))
+    parsed = parse_annotations(lines, "xml")
+    return parsed.select("l_orderkey", "l_linenumber", "xml_error", "width", F.when(F.col("bbox").isNotNull(), F.size("bbox")).alias("n_boxes"))
+
+
 @query(
     "split_presence_counts",
     f"WITH {ov.FRAMES} SELECT source_split, drone_present, count(*) AS count FROM frames GROUP BY ALL",

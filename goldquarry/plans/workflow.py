@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldquarry import fixed_values as fv
 from goldquarry.operators import augment, coverage, curate as edits, evaluate, inference, sampling
+from goldquarry.operators.joins import check_unique
 from goldquarry.operators.pixels import image_stats
 from goldquarry.operators.quality import describe, histogram, kept_dropped, quality_filter, quality_predicate
 from goldquarry.params import JobParams
 from goldquarry.schema import CURATED, GOLDEN, RESPONSES
 from goldquarry.sources.artifacts import export_coverage, load_dataset, write_dataset, write_run
-from goldquarry.sources.items import load_splits
+from goldquarry.sources.items import load_quarantine, load_splits
 from goldquarry.sources.paths import path_exists
 from goldquarry.sources.stages import store_stage
 
@@ -34,8 +35,16 @@ def _stored(spark: SparkSession, params: JobParams, name: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, paths: dict[str, str], params: JobParams) -> DataFrame:
-    """Image folders and sidecars -> raw items."""
-    write_dataset(load_splits(spark, paths), params.artifact_dir, "raw")
+    """Image folders and sidecars -> raw items; broken files go to the folder `quarantine`.
+
+    An id that names several images stops the job before anything is paid for.
+    """
+    load_quarantine(spark, paths).write.mode("overwrite").parquet(f"{params.artifact_dir}/quarantine")
+    items = store_stage(load_splits(spark, paths), "items")
+    repeated = [r["image_id"] for r in check_unique(items, "image_id").limit(5).collect()]
+    if repeated:
+        raise ValueError(f"image ids that name several images, such as {', '.join(map(str, repeated))}")
+    write_dataset(items, params.artifact_dir, "raw")
     return _stored(spark, params, "raw")
 
 

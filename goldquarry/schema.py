@@ -12,8 +12,9 @@ def _struct(**fields: T.DataType) -> T.StructType:
 BOX = _struct(xmin=_D, ymin=_D, xmax=_D, ymax=_D)
 BOXES = T.ArrayType(BOX)
 
+# `_corrupt_record` is set by Spark's XML reader if a record is cut off or a value is not a number.
 ANNOTATION_XML = _struct(
-    size=_struct(width=_D, height=_D), object=T.ArrayType(_struct(name=_S, bndbox=BOX))
+    size=_struct(width=_D, height=_D), object=T.ArrayType(_struct(bndbox=BOX)), _corrupt_record=_S
 )
 
 BASE = _struct(
@@ -46,6 +47,9 @@ CURATION = _struct(
     curation_status=_S,
 )
 
+# Files that give no item, and why.
+QUARANTINE = _struct(path=_S, reason=_S, source_split=_S)
+
 STATS = _struct(blur_score=_D, brightness=_D, bbox_ratio=_D)
 
 CURATED = T.StructType(BASE.fields + CURATION.fields)

@@ -19,42 +19,55 @@ def boxes_of(objects: Column) -> Column:
     return F.coalesce(boxes, F.array().cast(BOXES))
 
 
-def annotation_columns(size, objects) -> dict:
-    """Frame size (whole numbers, 0 if absent) and boxes of a parsed annotation."""
-    side = lambda c: F.coalesce(c.cast("int"), F.lit(0))
-    return {"width": side(size["width"]), "height": side(size["height"]), "bbox": boxes_of(objects)}
+UNREADABLE = "unreadable annotation"
+
+
+def annotation_columns(size, objects, corrupt) -> dict:
+    """Frame size (whole numbers, 0 if absent), boxes and `xml_error` of a parsed annotation.
+
+    An annotation that is cut off or holds something else than a number where one belongs has an
+    error and neither size nor boxes: what is left of it is no ground truth.
+    """
+    good = lambda c: F.when(corrupt.isNull(), c)
+    side = lambda c: good(F.coalesce(c.cast("int"), F.lit(0)))
+    return {
+        "width": side(size["width"]),
+        "height": side(size["height"]),
+        "bbox": good(boxes_of(objects)),
+        "xml_error": F.when(corrupt.isNotNull(), UNREADABLE),
+    }
 
 
 def parse_annotations(df: DataFrame, xml_col: str) -> DataFrame:
-    """Add width, height and bbox parsed from an XML string column."""
+    """Add width, height, bbox and xml_error parsed from an XML string column. A null string has no error."""
     parsed = F.from_xml(F.col(xml_col), ANNOTATION_XML, {"rowTag": "annotation"})
     return (
         df.withColumn("_xml", parsed)
-        .withColumns(annotation_columns(F.col("_xml.size"), F.col("_xml.object")))
+        .withColumns(annotation_columns(F.col("_xml.size"), F.col("_xml.object"), F.col("_xml._corrupt_record")))
         .drop("_xml")
     )
 
 
 def read_annotations(spark: SparkSession, path: str, row_tag: str = "annotation") -> DataFrame:
-    """(image_id, xml_path, width, height, bbox) of the XML files in folders strictly below `path`.
+    """(image_id, xml_path, width, height, bbox, xml_error) of the XML files in folders strictly below `path`.
 
-    The id is the file stem. Of files with the same stem the one with the largest path counts.
+    The id is the file stem. Of files with the same stem the one with the largest path counts. A
+    file without any annotation has an error as well; one of no bytes counts as no file, since
+    Spark's file sources leave those out.
     """
-    files = (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.xml")
-        .schema(ANNOTATION_XML)
-        .load(path)
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.xml"}
+    files = spark.read.format("xml").option("rowTag", row_tag).options(**options).schema(ANNOTATION_XML).load(path)
+    values = annotation_columns(F.col("size"), F.col("object"), F.col("_corrupt_record"))
+    parsed = files.select(
+        decoded_path(F.col("_metadata.file_path")).alias("xml_path"), *[c.alias(n) for n, c in values.items()]
+    )
+    names = spark.read.format("binaryFile").options(**options).load(path).select(F.col("_metadata.file_path").alias("uri"))
+    empty = names.select(decoded_path(F.col("uri")).alias("xml_path")).join(
+        parsed.select("xml_path").distinct(), "xml_path", "left_anti"
     )
-    xml_path = decoded_path(F.col("_metadata.file_path"))
-    rows = files.select(
-        xml_path.alias("xml_path"),
-        *[c.alias(n) for n, c in annotation_columns(F.col("size"), F.col("object")).items()],
-    ).where(below(spark, F.col("xml_path"), path))
-    rows = rows.withColumn("image_id", file_stem(F.col("xml_path")))
-    last = F.max_by(F.struct("xml_path", "width", "height", "bbox"), "xml_path")
+    rows = parsed.unionByName(empty.withColumn("xml_error", F.lit(UNREADABLE)), allowMissingColumns=True)
+    rows = rows.where(below(spark, F.col("xml_path"), path)).withColumn("image_id", file_stem(F.col("xml_path")))
+    last = F.max_by(F.struct("xml_path", "width", "height", "bbox", "xml_error"), "xml_path")
     return rows.groupBy("image_id").agg(last.alias("r")).select("image_id", "r.*")
 
 

@@ -166,3 +166,22 @@ def test_stage_root_is_the_checkpoint_folder(spark):
     stored = stages.store_stage(spark.range(3), "numbers")
     assert rows(stored) == [(0,), (1,), (2,)]
     assert all(f.startswith(f"file://{root}") for f in stored.inputFiles())
+
+
+def test_broken_files_are_reported_and_give_no_items(spark, tmp_path):
+    folder = tmp_path / "q"
+    folder.mkdir()
+    for name in ("good", "cut", "word", "empty", "plain"):
+        (folder / f"{name}.png").write_bytes(png(3, 4, lambda x, y: (1, 2, 3)))
+    (folder / "junk.png").write_bytes(b"no image")
+    (folder / "good.xml").write_text(xml(objects=obj(BOX)))
+    (folder / "cut.xml").write_text(xml(objects=obj(BOX))[:-30])
+    (folder / "word.xml").write_text(xml(objects=obj("<bndbox><xmin>abc</xmin></bndbox>")))
+    (folder / "empty.xml").write_text("<other/>")
+    paths = {"s": str(tmp_path)}
+    assert rows(items.load_splits(spark, paths), "image_id", "drone_present") == [("good", True), ("plain", False)]
+    found = [(p.rsplit("/", 1)[1], reason, split) for p, reason, split in rows(items.load_quarantine(spark, paths))]
+    assert sorted(found) == [
+        ("cut.xml", "unreadable annotation", "s"), ("empty.xml", "unreadable annotation", "s"),
+        ("junk.png", "unreadable image", "s"), ("word.xml", "unreadable annotation", "s"),
+    ]
