@@ -5,7 +5,7 @@ import brute
 import numpy as np
 import pytest
 
-from goldquarry.llm import blobs, queries, suffix_dedup
+from goldquarry.llm import queries, suffix_dedup
 from goldquarry.llm.run_index import RunIndex, ragged
 
 SCHEMA = "doc_id long, text string"
@@ -53,7 +53,6 @@ def test_small_buckets_indexes_and_batches(spark, monkeypatch):
         docs.append((i, base[start : start + rng.randrange(40, 500)]))
     for name, value in (("HELD", 50), ("INDEX_SYMBOLS", 300), ("STREAMED", 7), ("BUCKET_BYTES", 500)):
         monkeypatch.setattr(suffix_dedup, name, value)
-    monkeypatch.setattr(blobs, "BROADCAST_BYTES", 0)
     df = spark.createDataFrame(docs, SCHEMA)
     assert result(suffix_dedup.remove_repeats(df)) == brute.without_repeats(docs)
 
