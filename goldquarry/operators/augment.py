@@ -19,8 +19,8 @@ def positives(df: DataFrame) -> DataFrame:
 def blur_candidates(df: DataFrame, out_dir: str, max_rows: int = 0) -> DataFrame:
     """One blurred variant row per source row (the first `max_rows` by id; 0 means all).
 
-    Everything not named here, statistics included, is inherited from the source. The pixels
-    come from `operators.pixels.blur_images`.
+    Everything not named here, statistics included, is inherited from the source. The pictures
+    come from `operators.pixels.blurred_files`; `with_pictures` tells which rows have one.
     """
     source = F.col("image_id")
     return first_n(df, max_rows).withColumns(
@@ -34,6 +34,13 @@ def blur_candidates(df: DataFrame, out_dir: str, max_rows: int = 0) -> DataFrame
     )
 
 
+def with_pictures(candidates: DataFrame, pictures: DataFrame) -> DataFrame:
+    """Candidates that are synthetic exactly if `pictures` (image_path) holds their picture."""
+    known = pictures.select("image_path").distinct().withColumn("_made", F.lit(True))
+    made = F.coalesce("_made", F.lit(False))
+    return candidates.join(known, "image_path", "left").withColumn("is_synthetic", made).select(*candidates.columns)
+
+
 def variant_requests(df: DataFrame, prompts=None, max_rows: int = 0) -> DataFrame:
     """Every source row once per prompt, with the request's `label` and `prompt`."""
     prompts = fv.VARIANT_PROMPTS if prompts is None else prompts

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from goldquarry import fixed_values as fv
 from goldquarry.operators import augment, coverage, curate as edits, evaluate, inference, sampling
 from goldquarry.operators.joins import check_unique
-from goldquarry.operators.pixels import image_stats
+from goldquarry.operators.pixels import blurred_files, image_stats
 from goldquarry.operators.quality import describe, histogram, kept_dropped, quality_filter, quality_predicate
 from goldquarry.params import JobParams
 from goldquarry.schema import CURATED, GOLDEN, RESPONSES
@@ -111,13 +111,21 @@ def augment_golden(
     params: JobParams,
     contents: DataFrame | None = None,
     parallelism: int | None = None,
+    images: DataFrame | None = None,
 ) -> DataFrame:
-    """Golden positives -> candidates with lineage. Successful edits are kept and reused by the next run."""
+    """Golden positives -> candidates with lineage. Successful edits are kept and reused by the next run.
+
+    With `images` (image_path, image) the blurred pictures are made and stored as rows (image_path,
+    content) that `evaluate_models` reads next to the images; a blurred candidate is synthetic only if
+    its picture was stored. Without them the pictures are taken to lie at the candidates' paths.
+    """
     kept = f"{params.artifact_dir}/edits"
     cache = spark.read.schema("key string, status string").parquet(kept) if path_exists(spark, kept) else None
     targets = augment.positives(_stored(spark, params, "golden"))
     out = f"{params.artifact_dir}/augmented"
     blur = augment.blur_candidates(targets, f"{out}/blur", params.max_augmentation_rows)
+    if images is not None:
+        blur = _with_blurred_pictures(spark, targets, blur, images, params)
     variants = augment.variant_candidates(
         targets,
         editor,
@@ -134,6 +142,23 @@ def augment_golden(
     return _stored(spark, params, "augmented")
 
 
+def _blurred(spark: SparkSession, params: JobParams) -> DataFrame | None:
+    """Stored blurred pictures (image_path, content)."""
+    path = f"{params.artifact_dir}/blurred"
+    return spark.read.schema("image_path string, content binary").parquet(path) if path_exists(spark, path) else None
+
+
+def _with_blurred_pictures(spark, targets: DataFrame, blur: DataFrame, images: DataFrame, params: JobParams) -> DataFrame:
+    wanted = blur.select(F.col("source_image_id").alias("image_id"), F.col("image_path").alias("_variant")).join(
+        targets.select("image_id", "image_path"), "image_id"
+    )
+    # The pixels of the wanted images are blurred where they lie, and written.
+    sources = images.join(wanted.select("image_path", "_variant"), "image_path")
+    pictures = blurred_files(sources.select(F.col("_variant").alias("image_path"), "image"))
+    pictures.write.mode("overwrite").parquet(f"{params.artifact_dir}/blurred")
+    return augment.with_pictures(blur, _blurred(spark, params))
+
+
 def evaluate_models(
     spark: SparkSession,
     responder: Callable,
@@ -160,6 +185,10 @@ def evaluate_models(
         )
         bound = sampling.query_set_bound(params.n_queries, params.n_samples)
     query_set = store_stage(query_set, "query_set")
+    made = _blurred(spark, params)
+    if made is not None:
+        images = None if images is None else images.select("image_path", "content").unionByName(made)
+        listing = None if listing is None else listing.select("image_path").unionByName(made.select("image_path"))
     results = inference.score_frames(
         query_set,
         pool,

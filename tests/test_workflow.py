@@ -110,3 +110,32 @@ def test_custom_query_set_and_listing(spark, folder, tmp_path):
     result = workflow.evaluate_models(spark, grade_by_digest, params, listing=listing, query_set=some)
     row = result["metrics"].first()
     assert (row.query_id, row.n_positive, row.n_negative, row.tp + row.fn) == ("mine", 2, 0, 2)
+
+
+def test_blurred_pictures_exist_and_are_scored(spark, folder, tmp_path):
+    root = str(tmp_path / "artifacts")
+    params = JobParams(artifact_dir=root, models=("m1",), ranges={}, exclusions={})
+    paths = {"test": str(folder / "test")}
+    workflow.ingest(spark, paths, params)
+    workflow.curate(spark, answer, params)
+    pixels = read_images(spark, paths["test"])
+    workflow.select_golden(spark, pixels, params)
+    without_p0 = pixels.where("NOT image_path LIKE '%/p0.png'")
+    candidates = workflow.augment_golden(spark, edit_by_digest, params, images=without_p0)
+    blur = {r.source_image_id: r.is_synthetic for r in candidates.where("augmentation_type = 'gaussian_blur'").collect()}
+    assert blur == {f"p{i}": i != 0 for i in range(8)}
+    some = candidates.where("augmentation_type = 'gaussian_blur'").selectExpr("'q' as query_id", "'t' as query_text", "image_id", "true as is_positive")
+
+    def look(batch):
+        assert "is_positive" not in batch.columns
+        return ["definitely yes" if c[:4] == b"\x89PNG" else "definitely no" for c in batch["content"]]
+
+    result = workflow.evaluate_models(spark, look, params, images=read_contents(spark, paths["test"]), query_set=some)
+    assert result["metrics"].first().tp == 7
+
+    def never(batch):
+        assert not len(batch) or all(k[0] in "048c" for k in batch["key"])
+        return edit_by_digest(batch)
+
+    again = workflow.augment_golden(spark, never, params, images=without_p0)
+    assert again.count() == candidates.count()
