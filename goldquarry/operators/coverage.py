@@ -185,11 +185,16 @@ def crosstab(df: DataFrame, left: str, right: str, margins: bool = True, null_la
 
 
 def crosstab_wide(df: DataFrame, left: str, right: str, right_values, null_label: str = "None") -> DataFrame:
-    """One cross-tab with a column per value of the right side and an "All" row and column."""
+    """One cross-tab with a column per value of the right side and an "All" row and column.
+
+    A value (or the null label) of the right side that `right_values` doesn't list is an error.
+    """
     table = crosstabs(df, [(left, right, False)], null_label)
     in_cell = lambda v: F.sum(F.when(~F.col("right_margin") & (F.col("right_value") == v), F.col("count")))
     columns = [F.coalesce(in_cell(v), F.lit(0)).alias(v) for v in right_values]
-    total = F.sum(F.when(F.col("right_margin"), F.col("count"))).alias(ALL)
+    unlisted = ~F.col("right_margin") & ~F.col("right_value").isin(list(right_values))
+    failed = F.raise_error(F.concat(F.lit(f"{right} has a value that is not listed: "), F.col("right_value"))).cast("long")
+    total = F.sum(F.when(F.col("right_margin"), F.col("count")).when(unlisted, failed)).alias(ALL)
     return (
         table.groupBy("left_margin", F.col("left_value").alias(left))
         .agg(*columns, total)

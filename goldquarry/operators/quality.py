@@ -207,14 +207,15 @@ def _values_at(numbers: DataFrame, places: dict[str, Column], wanted: list) -> D
 def describe(df: DataFrame, columns, digits: int = 3) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, missing values skipped.
 
-    A column without values has no row.
+    A column without values has count 0 and nulls.
     """
     quartiles = [0.25, 0.5, 0.75]
     numbers = _numbers(df, _as_columns(columns))
     summary = _summary(numbers, _marks(quartiles, 0.002))
     # One row per column.
+    empty = dict.fromkeys(("mean", "std", "min", "max")) | {"count": 0}
     basics = numbers.sparkSession.createDataFrame(
-        [(c, *[s[k] for k in ("count", "mean", "std", "min", "max")]) for c, s in summary.items()],
+        [(c, *[summary.get(c, empty)[k] for k in ("count", "mean", "std", "min", "max")]) for c in numbers.columns],
         "stat string, count long, mean double, std double, min double, max double",
     )
     at = lambda p: F.max(F.when(F.col("q") == p, F.col("value")))
@@ -224,7 +225,7 @@ def describe(df: DataFrame, columns, digits: int = 3) -> DataFrame:
         .agg(at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75"))
     )
     columns_out = ["mean", "std", "min", "p25", "p50", "p75", "max"]
-    return inner.join(F.broadcast(basics), "stat").select(
+    return basics.join(F.broadcast(inner), "stat", "left").select(
         "stat", "count", *[F.round(c, digits).alias(c) for c in columns_out]
     )
 

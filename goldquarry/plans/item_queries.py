@@ -461,6 +461,17 @@ def describe_events(spark, sf):
     return quality.describe(fr.table(spark, sf, "events"), ["value"])
 
 
+@query(
+    "describe_empty",
+    f"""SELECT 'value' AS stat, {DESCRIBED} FROM (SELECT value AS v FROM events WHERE value IS NOT NULL)
+    UNION ALL SELECT 'nothing', 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
+)
+def describe_empty(spark, sf):
+    """A column without a single value keeps its row."""
+    table = fr.table(spark, sf, "events").select("value", F.lit(None).cast("double").alias("nothing"))
+    return quality.describe(table, ["value", "nothing"])
+
+
 @query(
     "histogram_30",
     f"""WITH {ov.CURATED},

@@ -111,5 +111,5 @@ def test_histogram_equals_numpy(spark):
 
 def test_statistics_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
-    assert quality.describe(df, ["v"]).collect() == []
+    assert [tuple(r) for r in quality.describe(df, ["v"]).collect()] == [("v", 0, *[None] * 7)]
     assert quality.histogram(df, ["v"]).collect() == []
