@@ -3,15 +3,15 @@
 Millions of small fixed-width records cost a few rows this way, and stay numpy arrays at both ends.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import zstandard
+from pyspark.sql import DataFrame, types as T
 
 from goldquarry.llm.kernels import U64, mix
 
-BROADCAST_BYTES = 64 << 20
-
-
 def pack_columns(rows: np.ndarray) -> bytes:
     """A structured array column by column, which compresses better than row by row."""
     return b"".join(np.ascontiguousarray(rows[name]).tobytes() for name in rows.dtype.names)
@@ -49,7 +49,16 @@ def doc_bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(docs.astype(np.int64).view(U64)) % U64(buckets)).astype(np.int64)
 
 
-def light(df: DataFrame) -> DataFrame:
-    """A broadcast hint if the stored rows are proven small."""
-    size = df.agg(F.sum(F.length("rows") + 64)).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, crc (a checksum of the text) and data (the compressed text) of rows (doc_id, text, ...); other columns stay."""
+    names = [c for c in docs.columns if c != "text"]
+
+    def pack(batches):
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for part in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
+            data = [(text or "").encode() for text in part.column("text").to_pylist()]
+            columns = [pa.array([zlib.crc32(d) for d in data], pa.int64()), pa.array([compress(d) for d in data], pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + columns, names=[*names, "crc", "data"])
+
+    schema = T.StructType([f for f in docs.schema.fields if f.name in names])
+    return docs.mapInArrow(pack, schema.add("crc", "long").add("data", "binary"))

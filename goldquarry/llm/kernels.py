@@ -1,6 +1,6 @@
 """Vectorised text helpers for Arrow batches: words, word hashes and rolling hashes.
 
-Texts are read as UTF-8 bytes straight from Arrow buffers, in slices of about a megabyte, so the
+Texts are read as UTF-8 bytes straight from Arrow buffers, in slices of about a quarter of a megabyte, so the
 memory of a task follows the longest text and not the batch.
 """
 
@@ -10,7 +10,7 @@ import types
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)
 WORD_BASE = U64(0xD6E8FEB86659FD93)
@@ -180,6 +180,11 @@ def ranges(starts, lengths) -> np.ndarray:
     return np.repeat(np.asarray(starts, np.int64), lengths) + np.arange(total) - first
 
 
+def run_ends(first: np.ndarray, total: int) -> np.ndarray:
+    """Ends of the runs that begin at `first`; none for no runs."""
+    return np.append(first[1:], total)[: len(first)]
+
+
 def merged(starts: np.ndarray, ends: np.ndarray):
     """Union of half-open intervals, touching ones joined; sorted."""
     if not len(starts):

@@ -7,14 +7,15 @@ one place. Neighbouring strings with the same smallest gram are one passage of 5
    is removed at once. So a passage that a third of the documents share is sent once per task.
 2. Equal passages meet by hash; all but those of the smallest document are removed. Passages that
    share their smallest gram only (the edges of repeated text) are looked at as strings:
-3. Of the 34 other bytes of a common string, 17 or more lie on one side of the gram. So passages are
-   grouped by the gram and the 17 bytes before it, and again by the gram and the 17 bytes after it,
-   which also splits the group of a common gram. The bytes of a group's passages are indexed by
-   run-compressed Burrows-Wheeler transforms, and later documents' passages are streamed against
-   those of earlier ones: one index per binary digit of the documents' order holds the passages with
-   digit 0 for those with digit 1, so every passage meets all earlier ones and no later one.
-
-Arrays travel as binary columns, a row for each task and bucket. Equal strings are found by 64-bit
+3. A gram's passages meet again with their bytes. Of the 34 other bytes of a common string, 17 or more
+   lie on one side of the gram, so the passages of a very common gram are grouped by the gram and the
+   17 bytes before it, and by the gram and the 17 bytes after it. Passages are trimmed to the strings
+   that another document of their group has, by hash, and equal ones go but for the first. What is
+   left is indexed by run-compressed Burrows-Wheeler transforms, and later documents' passages are
+   streamed against those of earlier ones: one index per binary digit of the documents' order holds
+   the passages with digit 0 for those with digit 1, so every passage meets all earlier ones only.
+
+Arrays travel as binary columns, a row for each task and bucket, and texts travel compressed. Equal strings are found by 64-bit
 hashes in the second step and by their bytes in the third.
 """
 
@@ -23,24 +24,27 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from goldquarry.llm.blobs import DEALT, dealt, doc_bucket, light, pack_columns, unpack_columns
+from goldquarry.llm.blobs import DEALT, dealt, doc_bucket, pack_columns, packed_texts, unpack_columns
 from goldquarry.llm.common import parts_for, stage
-from goldquarry.llm.kernels import Rolling, U64, merged, mix, ranges, sliding_min, text_slices
+from goldquarry.llm.kernels import Rolling, U64, merged, mix, ranges, run_ends, sliding_min, text_slices
 from goldquarry.llm.run_index import RunIndex, ragged
 
 MATCH_BYTES = 50
 GRAM_BYTES = 16
 GRAMS = MATCH_BYTES - GRAM_BYTES + 1
 # Passages a task holds before it sends them on, and bytes of text per bucket.
-HELD = 1 << 20
-BUCKET_BYTES = 16 << 20
+HELD = 1 << 17
+BUCKET_BYTES = 8 << 20
 # Symbols of one index.
-INDEX_SYMBOLS = 400_000
+INDEX_SYMBOLS = 200_000
 PLACE_BITS = U64(30)
 
 SIDE_BYTES = GRAMS // 2
+# Passages of one gram from which on it is grouped by its sides as well.
+COMMON_GRAM = 500
 # Patterns streamed at once.
 STREAMED = 20_000
 
@@ -48,7 +52,10 @@ STREAMED = 20_000
 OWNER = [("doc", "<i8"), ("crc", "<u4")]
 PASSAGE = np.dtype([("gram", "<u4"), ("string", "<u8"), *OWNER, ("start", "<i4"), ("length", "u1")])
 SPAN = np.dtype([*OWNER, ("start", "<i4"), ("length", "<i4")])
-EDGE = np.dtype([*OWNER, ("start", "<i4"), ("length", "u1")])
+EDGE = np.dtype([*OWNER, ("start", "<i4"), ("length", "u1"), ("common", "?")])
+# The same within the row of their owner.
+OWN_SPAN = np.dtype(SPAN.descr[len(OWNER) :])
+OWN_EDGE = np.dtype(EDGE.descr[len(OWNER) :])
 SIDED = np.dtype([("side", "<u8"), *OWNER, ("start", "<i4"), ("length", "u1")])
 
 
@@ -140,17 +147,19 @@ def _meet(buckets: int):
             strings = np.add.reduceat(string.astype(np.int64), first)
             low, high = np.minimum.reduceat(rows["doc"], first), np.maximum.reduceat(rows["doc"], first)
             several = ((strings > 1) & (low < high))[group]
+            common = np.bincount(group) >= COMMON_GRAM
         else:
-            several = np.zeros(0, bool)
+            several = common = np.zeros(0, bool)
         edges = np.empty(int(several.sum()), EDGE)
-        for name in EDGE.names:
+        for name in SIDED.names[1:]:
             edges[name] = rows[name][several]
+        edges["common"] = common[group[several]]
         return pa.Table.from_batches([spans, dealt(edges, doc_bucket(edges["doc"], buckets), "edges")])
 
     return meet
 
 
-def _by_doc(kind: np.dtype, finish):
+def _by_doc(kind: np.dtype, own: np.dtype, finish=lambda rows: rows):
     """Rows of one kind regrouped by document: (doc_id, crc, rows)."""
 
     def regroup(table: pa.Table) -> pa.Table:
@@ -158,7 +167,7 @@ def _by_doc(kind: np.dtype, finish):
         rows = rows[np.lexsort((rows["start"], rows["crc"], rows["doc"]))]
         new = (rows["doc"][1:] != rows["doc"][:-1]) | (rows["crc"][1:] != rows["crc"][:-1])
         cuts = np.flatnonzero(np.append(True, new))
-        blobs = [pack_columns(finish(part)) for part in np.split(rows, cuts[1:])]
+        blobs = [pack_columns(finish(part)) for part in np.split(rows[list(own.names)], cuts[1:])]
         owners = {"doc_id": pa.array(rows["doc"][cuts]), "crc": pa.array(rows["crc"][cuts].astype(np.int64))}
         return pa.table(owners | {"rows": pa.array(blobs, pa.binary())})
 
@@ -167,14 +176,13 @@ def _by_doc(kind: np.dtype, finish):
 
 def _merge(spans: np.ndarray) -> np.ndarray:
     start, end = merged(spans["start"].astype(np.int64), spans["start"].astype(np.int64) + spans["length"])
-    out = np.empty(len(start), SPAN)
-    out["doc"], out["crc"] = spans["doc"][: len(start)], spans["crc"][: len(start)]
+    out = np.empty(len(start), OWN_SPAN)
     out["start"], out["length"] = start, end - start
     return out
 
 
-def _sides(data: np.ndarray, lengths: np.ndarray):
-    """(string, key) for the gram of each string with the bytes before it, and with those after it."""
+def _sides(data: np.ndarray, lengths: np.ndarray, common: np.ndarray):
+    """(string, key) for the gram of each string; if that is common, with the bytes before it and with those after it."""
     ends = np.cumsum(lengths)
     starts = ends - lengths
     rolling = Rolling(data)
@@ -184,9 +192,10 @@ def _sides(data: np.ndarray, lengths: np.ndarray):
     cuts = np.stack([starts, ends - GRAM_BYTES + 1], 1).ravel()
     cuts = cuts[cuts < len(marked)]
     place = (np.minimum.reduceat(marked, cuts)[::2] & ((U64(1) << PLACE_BITS) - U64(1))).astype(np.int64)
-    found = []
+    alone = np.flatnonzero(~common)
+    found = [(alone, mix(grams[place[alone]]))]
     for salt, low, high in ((1, place - SIDE_BYTES, place + GRAM_BYTES), (2, place, place + GRAM_BYTES + SIDE_BYTES)):
-        there = np.flatnonzero((low >= starts) & (high <= ends))
+        there = np.flatnonzero(common & (low >= starts) & (high <= ends))
         found.append((there, mix(rolling.between(low[there], high[there]) + U64(salt))))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
@@ -195,20 +204,26 @@ def _edge_strings(buckets: int):
     """Bytes of the edges of documents, by side: (bucket, rows, strings)."""
 
     def cut(batches):
-        for batch in batches:
+        expand = zstandard.ZstdDecompressor().decompress
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             rows, strings = [], []
-            for text, blob in zip(batch.column("text").to_pylist(), batch.column("rows").to_pylist()):
-                edges, data = unpack_columns([blob], EDGE), (text or "").encode()
+            owners = zip(*(batch.column(n).to_pylist() for n in ("doc_id", "crc", "data", "rows")))
+            for doc, crc, data, blob in owners:
+                own, data = unpack_columns([blob], OWN_EDGE), expand(data)
+                edges = np.empty(len(own), EDGE)
+                edges["doc"], edges["crc"] = doc, crc
+                for name in OWN_EDGE.names:
+                    edges[name] = own[name]
                 rows.append(edges)
                 strings += [data[s : s + n] for s, n in zip(edges["start"].tolist(), edges["length"].tolist())]
             edges = np.concatenate(rows)
             data = np.frombuffer(b"".join(strings), np.uint8)
-            string, side = _sides(data, edges["length"].astype(np.int64))
+            string, side = _sides(data, edges["length"].astype(np.int64), edges["common"])
             bucket = (side % U64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             rows = np.empty(len(string), SIDED)
             rows["side"] = side
-            for name in EDGE.names:
+            for name in SIDED.names[1:]:
                 rows[name] = edges[name][string]
             cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
             out = np.split(order, cuts[1:]) if len(order) else []
@@ -255,6 +270,50 @@ def repeated_windows(group, order, lengths, data, k=MATCH_BYTES):
     return np.unique(np.concatenate(found, axis=1), axis=1)
 
 
+def repeated_parts(group, order, lengths, data, k=MATCH_BYTES):
+    """(string, start, length) of the parts of strings that earlier strings of their group have, k bytes at least."""
+    starts = np.cumsum(lengths) - lengths
+    rolling, counts = Rolling(data), np.maximum(lengths - k + 1, 0)
+    string = np.repeat(np.arange(len(lengths)), counts)
+    window = ranges(np.zeros(len(lengths)), counts)
+    # Windows that more than one order has.
+    place = starts[string] + window
+    hashes = mix(rolling.windows(k)[place] + mix(group.astype(U64))[string]) if len(place) else np.zeros(0, U64)
+    by_hash = np.argsort(hashes)
+    first = np.flatnonzero(np.append(True, np.diff(hashes[by_hash]) != 0)) if len(hashes) else np.zeros(0, int)
+    shared = np.zeros(len(hashes), bool)
+    if len(hashes):
+        orders = order[string[by_hash]]
+        several = np.minimum.reduceat(orders, first) < np.maximum.reduceat(orders, first)
+        shared[by_hash] = np.repeat(several, np.diff(np.append(first, len(hashes))))
+    # Strings trimmed to such windows.
+    string, window = string[shared], window[shared]
+    new = np.flatnonzero(np.append(True, np.diff(string) != 0)) if len(string) else np.zeros(0, int)
+    left, last = string[new], run_ends(new, len(string)) - 1
+    low, high = window[new], window[last] + k
+    # Of equal ones those of the first order stay.
+    hashes = mix(rolling.between(starts[left] + low, starts[left] + high) + mix(group[left].astype(U64)))
+    by_hash = np.lexsort((order[left], hashes))
+    new = np.append(True, np.diff(hashes[by_hash]) != 0) if len(left) else np.zeros(0, bool)
+    least = order[left][by_hash][np.flatnonzero(new)][np.cumsum(new) - 1]
+    equal = np.zeros(len(left), bool)
+    equal[by_hash] = order[left][by_hash] > least
+    rest = np.flatnonzero(~equal)
+    lengths = (high - low)[rest]
+    trimmed = data[ranges((starts[left] + low)[rest], lengths)]
+    string, window = repeated_windows(group[left][rest], order[left][rest], lengths, trimmed, k)
+    # Windows one after another are one part.
+    new = np.append(True, (np.diff(string) != 0) | (np.diff(window) != 1)) if len(string) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    end = run_ends(begin, len(string)) - 1
+    parts = rest[string[begin]]
+    return (
+        np.concatenate([left[equal], left[parts]]),
+        np.concatenate([low[equal], low[parts] + window[begin]]),
+        np.concatenate([(high - low)[equal], window[end] - window[begin] + k]),
+    )
+
+
 def _stream(buckets: int):
     """Step 3."""
 
@@ -270,11 +329,11 @@ def _stream(buckets: int):
         group, order = np.empty(len(edges), np.int64), np.empty(len(edges), np.int64)
         group[by_doc] = np.cumsum(new_group) - 1
         order[by_doc] = new_doc - new_doc[np.flatnonzero(new_group)][np.cumsum(new_group) - 1]
-        string, window = repeated_windows(group, order, lengths, data)
+        string, start, length = repeated_parts(group, order, lengths, data)
         spans = np.empty(len(string), SPAN)
         for name in ("doc", "crc"):
             spans[name] = edges[name][string]
-        spans["start"], spans["length"] = edges["start"][string] + window, MATCH_BYTES
+        spans["start"], spans["length"] = edges["start"][string] + start, length
         return pa.Table.from_batches([dealt(spans, doc_bucket(spans["doc"], buckets), "spans")])
 
     return stream
@@ -301,19 +360,17 @@ def remove_repeats(docs: DataFrame, doc="doc_id", text="text", keep_columns=Fals
     cut = ordered.mapInArrow(_cut(buckets), DEALT)
     met = stage(cut.groupBy("kind", "bucket").applyInArrow(_pass_or_meet(buckets), DEALT), "passages-met")
     by_doc = "doc_id long, crc long, rows binary"
-    edges = met.where("kind = 'edges'").groupBy("bucket").applyInArrow(_by_doc(EDGE, lambda r: r), by_doc)
+    edges = met.where("kind = 'edges'").groupBy("bucket").applyInArrow(_by_doc(EDGE, OWN_EDGE), by_doc)
     edges = stage(edges, "edges-by-document")
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("crc")
-    strings = ordered.select("*", crc).join(light(edges), ["doc_id", "crc"])
+    strings = packed_texts(ordered).join(edges, ["doc_id", "crc"])
     strings = strings.mapInArrow(_edge_strings(buckets), "bucket long, rows binary, strings binary")
     streamed = strings.groupBy("bucket").applyInArrow(_stream(buckets), DEALT)
     spans = met.where("kind = 'spans'").unionByName(streamed)
-    spans = stage(spans.groupBy("bucket").applyInArrow(_by_doc(SPAN, _merge), by_doc), "spans-by-document")
+    spans = stage(spans.groupBy("bucket").applyInArrow(_by_doc(SPAN, OWN_SPAN, _merge), by_doc), "spans-by-document")
     others = [c for c in docs.columns if keep_columns and c not in (doc, text, "doc_id", "text", *RESULT.names)]
     rest = [F.struct(*others).alias("rest")] if others else []
     full = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *rest)
-    full = full.select("*", crc)
-    joined = full.join(light(spans).withColumnRenamed("rows", "spans"), ["doc_id", "crc"], "left")
+    joined = packed_texts(full).join(spans, ["doc_id", "crc"], "left")
     names = ["doc_id", *(["rest"] if others else [])]
     schema = T.StructType([f for f in full.schema.fields if f.name in names] + RESULT.fields)
     kept = joined.mapInArrow(_finish(names, keep_text), schema)
@@ -331,13 +388,13 @@ def _pass_or_meet(buckets: int):
 
 def _finish(names, keep_text):
     def finish(batches):
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 out = {f.name: [] for f in RESULT.fields}
-                for text, blob in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
-                    data = (text or "").encode()
-                    spans = unpack_columns([blob], SPAN) if blob else np.empty(0, SPAN)
+                for data, blob in zip(part.column("data").to_pylist(), part.column("rows").to_pylist()):
+                    data, spans = expand(data), unpack_columns([blob] if blob else [], OWN_SPAN)
                     kept, upto = [], 0
                     for start, length in zip(spans["start"].tolist(), spans["length"].tolist()):
                         kept.append(data[upto:start])
