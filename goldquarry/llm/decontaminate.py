@@ -181,7 +181,7 @@ def _extended(batches):
 def decontaminate(
     docs: DataFrame, items: DataFrame, doc="doc_id", text="text", item="item_id", item_text="text"
 ) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items (ids, sorted as strings) and passages (start, end in words).
+    """Per document: doc_id, n_words, n_hit, n_items, items (ids, sorted as strings) and passages (start, end in words; they may overlap).
 
     A word is a run of ASCII letters, digits and characters beyond ASCII of the lower-cased text. Null
     texts have no words; items without words match nothing; items of fewer than ten words match as a

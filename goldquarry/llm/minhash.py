@@ -32,7 +32,7 @@ SHINGLE_WORDS = 5
 THRESHOLD = 75
 SKETCH = 32
 LEAST_SHARED = 12
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
 
 
 def shingle_sets(column, words: int = SHINGLE_WORDS):
@@ -60,11 +60,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n, set_key, sketch) of every row (doc_id, text)."""
 
     def sign(batches):
-        for batch in batches:
-            sets = [s for _, s in shingle_sets(batch.column(1))]
+        for part in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
+            sets = [s for _, s in shingle_sets(part.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     _lists([s[:SKETCH] for s in sets]),
