@@ -63,7 +63,7 @@ def edit_outcomes(
     Each key is edited once, however many copies of the same content there are. `editor` gets
     a batch of requests and returns one status per row, "ok" or "failed: reason"; it stores the
     edited images itself. With `content_of` (image_path, content) it also sees the content,
-    which is joined last, for the requests still open only.
+    which is joined last, for the images with open requests only and once for all their prompts.
     """
     open_requests = requests.groupBy("key").agg(
         F.min(F.struct("image_id", "image_path", "prompt")).alias("r")
@@ -73,10 +73,17 @@ def edit_outcomes(
         cache = cache.where(F.col("status") == "ok").select("key", "status").distinct()
         open_requests = open_requests.join(cache.select("key"), "key", "left_anti")
     if content_of is not None:
-        open_requests = open_requests.join(content_of, "image_path", "left")
+        # At most one request per prompt in a row.
+        asked = F.collect_list(F.struct("key", "image_id", "prompt")).alias("asked")
+        open_requests = open_requests.groupBy("image_path").agg(asked).join(content_of, "image_path", "left")
+
+    content_of_given = content_of is not None
 
     def run(batches):
         for batch in batches:
+            if content_of_given:
+                batch = batch.explode("asked", ignore_index=True)
+                batch = pd.concat([batch.drop(columns="asked"), pd.DataFrame(list(batch["asked"]))], axis=1)
             yield pd.DataFrame({"key": batch["key"], "status": _statuses(editor, batch)})
 
     if parallelism:

@@ -74,7 +74,8 @@ def detailed_eval(
 ) -> DataFrame:
     """Results with query text (the id where unknown) and the light columns of their items.
 
-    The item table is reduced to the scored ids before it is joined, so only those rows move.
+    The item table is reduced to the scored ids before it is joined, so only those rows move. If an id
+    repeats, the row with the largest path counts, as in scoring; without paths it is an error.
     `max_rows` is a proven bound on the number of results, if there is one.
     """
     base = ["model", "query_id", "image_id", "is_positive", "graded_response", "score", "retrieved"]
@@ -82,7 +83,10 @@ def detailed_eval(
     light = [c for c in items.columns if c not in drop and (c == "image_id" or c not in base)]
     light = [c for c in light if c not in ("query_text", "correct")]
     scored = small_side(results.select("image_id").distinct(), max_rows)
-    meta = unique_rows(items.select(*light).join(scored, "image_id", "left_semi"), "image_id")
+    path = [c for c in ("image_path",) if c in items.columns and c not in light]
+    found = items.select(*light, *path).join(scored, "image_id", "left_semi")
+    last_by = "image_path" if "image_path" in found.columns else None
+    meta = unique_rows(found, "image_id", last_by).drop(*path)
     return (
         results.select(*base)
         .join(texts, "query_id", "left")
