@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 OPEN, CLOSE = "### ", "</turn>"
 CONTROL = r"(\\*)(### |</turn>)"
 ESCAPED = r"\\(\\*)(### |</turn>)"
-TOKEN = r"(?<!\\)(?:### |</turn>)"
+# The control string first, then what stands before it: most places fail at their first character.
+TOKEN = r"(?:### |</turn>)(?<!\\(?:### |</turn>))"
 ROLE_ESCAPES = [("\\", "\\b"), (":", "\\c"), ("#", "\\h"), ("<", "\\l")]
 
 
@@ -26,7 +27,7 @@ def escape_text(text: Column) -> Column:
 
 
 def unescape_text(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED, "$1$2")
+    return F.when(text.contains("\\"), F.regexp_replace(text, ESCAPED, "$1$2")).otherwise(text)
 
 
 def escape_role(role: Column) -> Column:
@@ -49,46 +50,48 @@ def render(turns: Column, text) -> Column:
     return F.array_join(F.transform(turns, one), "")
 
 
-def _without_last(text: Column) -> Column:
-    return F.substring(text, F.lit(1), F.length(text) - 1)
+def pieces(formatted: Column) -> Column:
+    """What lies between control strings: empty, a turn's body, a line end, a body, a line end, and so on."""
+    return F.split(formatted, TOKEN)
 
 
-def parse(formatted: Column) -> Column:
-    """Turns (role, text) of a formatted string; null if it doesn't follow the grammar."""
-    pieces = F.split(formatted, TOKEN)
-    bodies = F.filter(pieces, lambda _, i: i % 2 == 1)
-    between = F.filter(pieces, lambda _, i: i % 2 == 0)
-    well_formed = (
-        (F.size(pieces) == 2 * F.size(bodies) + 1)
-        & (F.element_at(between, 1) == "")
-        & F.forall(F.slice(between, F.lit(2), F.size(bodies)), lambda p: p == "\n")
-        & F.forall(bodies, lambda b: b.contains(": ") & b.endswith("\n"))
-    )
+def _bodies(parts: Column) -> Column:
+    return F.filter(parts, lambda _, i: i % 2 == 1)
+
+
+def _role(body: Column) -> Column:
+    """The escaped role: all up to the first ": "."""
+    return F.substring_index(body, ": ", 1)
+
+
+def parse(parts: Column) -> Column:
+    """Turns (role, text) of the pieces of a formatted string; null if it doesn't follow the grammar."""
+    body = lambda p: p.contains(": ") & p.endswith("\n")
+    place = lambda p, i: F.when(i % 2 == 1, body(p)).when(i == 0, p == "").otherwise(p == "\n")
+    well_formed = (F.size(parts) % 2 == 1) & F.forall(F.transform(parts, place), lambda fits: fits)
     turn = lambda b: F.struct(
-        unescape_role(F.split(b, ": ", 2)[0]).alias("role"),
-        unescape_text(_without_last(F.split(b, ": ", 2)[1])).alias("text"),
+        unescape_role(_role(b)).alias("role"),
+        unescape_text(F.substring(b, F.length(_role(b)) + 3, F.length(b) - F.length(_role(b)) - 3)).alias("text"),
     )
-    return F.when(well_formed, F.transform(bodies, turn))
+    return F.when(well_formed, F.transform(_bodies(parts), turn))
 
 
-def loss_spans(formatted: Column, role: str = "assistant") -> Column:
-    """Code point spans (start, length) of the texts of one role in a formatted string."""
-    bodies = F.filter(F.split(formatted, TOKEN), lambda _, i: i % 2 == 1)
+def loss_spans(parts: Column, role: str = "assistant") -> Column:
+    """Code point spans (start, length) of the texts of one role, from the pieces of a formatted string."""
     around = len(OPEN) + len(CLOSE) + 1
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
 
     def step(state, body):
-        name = F.split(body, ": ", 2)[0]
-        before = state["at"] + len(OPEN) + F.length(name) + 2
-        span = F.struct(before.alias("start"), (F.length(body) - F.length(name) - 3).alias("length"))
+        name = F.length(_role(body)) + 2
+        span = F.struct((state["at"] + len(OPEN) + name).alias("start"), (F.length(body) - name - 1).alias("length"))
         return F.struct(
             (state["at"] + around + F.length(body)).alias("at"),
-            F.when(unescape_role(name) == role, F.concat(state["spans"], F.array(span)))
+            F.when(unescape_role(_role(body)) == role, F.concat(state["spans"], F.array(span)))
             .otherwise(state["spans"])
             .alias("spans"),
         )
 
-    return F.aggregate(bodies, start, step, lambda s: s["spans"])
+    return F.aggregate(_bodies(parts), start, step, lambda s: s["spans"])
 
 
 def format_conversations(
@@ -113,23 +116,27 @@ def format_conversations(
         "conv_id",
         F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"),
     )
-    plain = source.withColumn("plain", render(F.col("turns"), lambda t: t))
-    tried = plain.withColumn("escaped", ~parse(F.col("plain")).eqNullSafe(F.col("turns")))
+    # One column per step: each is used more than once, and Spark keeps it for that.
+    plain = source.withColumn("plain", render(F.col("turns"), lambda t: t)).withColumn("parts", pieces(F.col("plain")))
+    tried = plain.withColumn("escaped", ~parse(F.col("parts")).eqNullSafe(F.col("turns")))
     # Only conversations that didn't come back are rendered and parsed a second time.
-    again = render(F.col("turns"), escape_text)
-    checked = tried.withColumn("formatted", F.when(F.col("escaped"), again).otherwise(F.col("plain")))
-    identical = ~F.col("escaped") | parse(F.col("formatted")).eqNullSafe(F.col("turns"))
+    again = F.when(F.col("escaped"), render(F.col("turns"), escape_text))
+    retried = tried.withColumn("again", again).withColumn("parts_again", pieces(F.col("again")))
+    identical = ~F.col("escaped") | parse(F.col("parts_again")).eqNullSafe(F.col("turns"))
     failed = F.raise_error(F.concat(F.lit("no round trip: "), F.col("conv_id").cast("string")))
-    return checked.select(
+    formatted = F.when(~identical, failed.cast("string")).otherwise(F.coalesce("again", "plain"))
+    return retried.select(
         "conv_id",
-        F.when(identical, F.col("formatted")).otherwise(failed.cast("string")).alias("formatted"),
+        formatted.alias("formatted"),
         "escaped",
-    ).withColumn("loss_spans", loss_spans(F.col("formatted"), loss_role))
+        loss_spans(F.coalesce("parts_again", "parts"), loss_role).alias("loss_spans"),
+    )
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of what the formatted strings say: turns by the parser, loss text by the mask."""
-    turns = formatted.withColumn("turns", parse(F.col("formatted")))
+    parts = formatted.withColumn("parts", pieces(F.col("formatted")))
+    turns = parts.withColumn("turns", parse(F.col("parts")))
     each = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     masked = F.transform(
         "loss_spans",
