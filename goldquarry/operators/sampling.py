@@ -75,11 +75,22 @@ def balanced_sample(
     cut = _reached(counts, ["_class"], ["_slice"], F.element_at(quotas, F.col("_class")))
     # At most three classes of 16 ** SLICE_DIGITS slices.
     taken = rows.join(F.broadcast(cut), ["_class", "_slice"])
-    # A slice that is taken whole needs no common ranking, so its rows are spread.
-    spread = F.when(F.col("n") <= F.col("left"), F.pmod(F.hash("_key"), F.lit(SPREAD))).otherwise(-1)
-    in_slice = Window.partitionBy("_class", "_slice", spread).orderBy("_key", key)
-    ranked = taken.withColumn("_rank", F.row_number().over(in_slice))
-    return ranked.where(F.col("_rank") <= F.col("left")).select(*df.columns)
+    # The last slice a class reaches is taken in part: it is counted once more by further digits.
+    part = F.when(F.col("n") > F.col("left"), F.substring("_key", SLICE_DIGITS + 1, SLICE_DIGITS))
+    parts = taken.withColumn("_part", part)
+    inner = parts.where(part.isNotNull()).groupBy("_class", "_part").agg(
+        F.count(F.lit(1)).alias("n"), F.first("left").alias("quota")
+    )
+    inner = _reached(inner, ["_class"], ["_part"], F.col("quota")).select(
+        "_class", "_part", F.col("n").alias("_n"), F.col("left").alias("_left")
+    )
+    placed = parts.join(F.broadcast(inner), ["_class", "_part"], "left").where(part.isNull() | F.col("_left").isNotNull())
+    # Parts that are taken whole need no common ranking, so their rows are spread.
+    whole = F.coalesce(F.col("_n") <= F.col("_left"), F.lit(True))
+    spread = F.when(whole, F.pmod(F.hash("_key"), F.lit(SPREAD))).otherwise(-1)
+    in_part = Window.partitionBy("_class", "_slice", "_part", spread).orderBy("_key", key)
+    ranked = placed.withColumn("_rank", F.row_number().over(in_part))
+    return ranked.where(whole | (F.col("_rank") <= F.col("_left"))).select(*df.columns)
 
 
 def usable_templates(df: DataFrame, templates=None) -> list:
