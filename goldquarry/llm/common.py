@@ -4,7 +4,7 @@ import itertools
 import re
 
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldquarry.sources.stages import store_stage
 
@@ -12,6 +12,20 @@ from goldquarry.sources.stages import store_stage
 BROADCAST_ROWS = 200_000
 
 
+# Rows of text that go to a Python worker at once, and Spark's own number.
+BATCH_ROWS, SPARK_BATCH_ROWS = 1000, "10000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of few rows, unless the session sets a number of its own.
+
+    Ten thousand texts at a time, in the buffers of both sides, are more than a small executor has.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == SPARK_BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back, so nothing before it runs twice."""
     return store_stage(df, re.sub(r"\W", "-", name))

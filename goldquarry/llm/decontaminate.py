@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from goldquarry.llm.common import row_keys, stage
+from goldquarry.llm.common import row_keys, small_batches, stage
 from goldquarry.llm.kernels import LETTERS_AND_DIGITS, U64, run_hashes, signed, text_slices, winnowed, word_hashes
 
 WINDOW_WORDS = 10
@@ -188,6 +188,7 @@ def decontaminate(
     whole. Repeated rows each get a row, also with the same doc_id; other columns are ignored; an
     empty benchmark gives no hits. Word equality is equality of 64-bit hashes.
     """
+    small_batches(docs.sparkSession)
     prints = stage(item_fingerprints(items, item, item_text), "benchmark-prints")
     short = sorted(-r[0] for r in prints.where("words < 0").select("words").distinct().collect())
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from goldquarry.llm.common import small_batches
 from goldquarry.llm.kernels import cached, text_slices
 
 UNKNOWN = "und"
@@ -263,6 +264,7 @@ def identify(docs: DataFrame, fitted, doc="doc_id", text="text", spans=False, ke
     language that sorts first. Repeated rows each get a row; other columns are ignored. Texts are
     read in whole; one narrow pass without a shuffle.
     """
+    small_batches(docs.sparkSession)
     languages, model = fitted
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from goldquarry.llm.common import broadcast_if_small, stage
+from goldquarry.llm.common import broadcast_if_small, small_batches, stage
 from goldquarry.llm.components import connected_components
 from goldquarry.llm.groups import sorted_groups
 from goldquarry.llm.kernels import BLANK_SEPARATED, U64, run_hashes, signed, text_slices, word_hashes
@@ -228,6 +228,7 @@ def near_duplicates(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
     null doc_ids link with nothing. Rows with the same doc_id are judged each by its own text, and sets
     with the same smallest doc_id are one node. An empty table gives no rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed_docs = stage(signatures(rows), "signatures")
     able = signed_docs.where("n > 0 and doc_id is not null")
