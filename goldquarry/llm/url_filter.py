@@ -37,10 +37,8 @@ def rule_columns(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return name, verdict
 
 
-def char_grams(text: Column, sizes=GRAMS) -> Column:
-    """All character n-grams of a text with a mark at either end."""
-    marked = F.concat(F.lit("^"), text, F.lit("$"))
-    chars = F.filter(F.split(marked, ""), lambda c: c != "")
+def char_grams(chars: Column, sizes=GRAMS) -> Column:
+    """All n-grams of an array of characters."""
 
     def grams(n):
         gram = lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)])
@@ -52,7 +50,11 @@ def char_grams(text: Column, sizes=GRAMS) -> Column:
 
 
 def _features(df: DataFrame, host: str, path: str) -> DataFrame:
-    words = df.withColumn("_grams", char_grams(F.concat(F.col(host), F.col(path))))
+    """Hashed n-grams of host and path, with a mark at either end."""
+    marked = F.concat(F.lit("^"), F.col(host), F.col(path), F.lit("$"))
+    # A column of its own: the n-grams look up characters by place, and a text is split once.
+    chars = df.withColumn("_chars", F.filter(F.split(marked, ""), lambda c: c != ""))
+    words = chars.withColumn("_grams", char_grams(F.col("_chars")))
     hashed = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=BUCKETS, binary=True)
     return hashed.transform(words)
 
