@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from goldquarry.llm.common import stage
+from goldquarry.llm.common import parts_for, small_batches, stage
 from goldquarry.llm.kernels import cached
 
 END_OF_TEXT = "<|endoftext|>"
@@ -173,7 +173,7 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple]:
 
 def _ranked(pieces: DataFrame, total: int) -> DataFrame:
     """Rank of each piece among those of its length, counted by hash slices."""
-    slices = max(1, -(-total // SLICE_ROWS))
+    slices = parts_for(pieces, total, SLICE_ROWS)
     keyed = pieces.withColumn("slice", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(slices)))
     sizes = keyed.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -198,6 +198,7 @@ def pack(
     empty table gives no rows; other columns are ignored. With keep_ids, `ids` holds the piece's ids
     as little-endian unsigned 32-bit numbers.
     """
+    small_batches(docs.sparkSession)
     pieces = stage(tokenize(docs, vocabulary, window, doc, text, keep_ids), "pieces")
     # One number per length: at most `window` rows.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -223,8 +224,7 @@ def pack(
 
     schema = PIECES + (", ids binary" if keep_ids else "") + ", sequence_id long, offset long, padded_length long"
     ranked = _ranked(pieces, sum(counts.values()))
-    names = [c for c in pieces.columns]
-    return ranked.select(*names, "rank").mapInArrow(assign, schema)
+    return ranked.select(*pieces.columns, "rank").mapInArrow(assign, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -28,8 +28,8 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from goldquarry.llm.blobs import DEALT, dealt, doc_bucket, pack_columns, packed_texts, unpack_columns
-from goldquarry.llm.common import parts_for, stage
-from goldquarry.llm.kernels import Rolling, U64, merged, mix, ranges, run_ends, sliding_min, text_slices
+from goldquarry.llm.common import parts_for, small_batches, stage
+from goldquarry.llm.kernels import SLICE_BYTES, Rolling, U64, merged, mix, ranges, run_ends, sliding_min, text_slices
 from goldquarry.llm.run_index import RunIndex, ragged
 
 MATCH_BYTES = 50
@@ -270,15 +270,28 @@ def repeated_windows(group, order, lengths, data, k=MATCH_BYTES):
     return np.unique(np.concatenate(found, axis=1), axis=1)
 
 
+def _hashes(data, starts, lengths) -> np.ndarray:
+    """Hashes of substrings in the order of their start, from a slice of the data at a time."""
+    out = np.empty(len(starts), U64)
+    at = 0
+    while at < len(starts):
+        end = int(np.searchsorted(starts, starts[at] + SLICE_BYTES))
+        upto = int((starts[at:end] + lengths[at:end]).max())
+        rolling = Rolling(data[starts[at] : upto])
+        low = starts[at:end] - starts[at]
+        out[at:end] = rolling.between(low, low + lengths[at:end])
+        at = end
+    return out
+
+
 def repeated_parts(group, order, lengths, data, k=MATCH_BYTES):
     """(string, start, length) of the parts of strings that earlier strings of their group have, k bytes at least."""
-    starts = np.cumsum(lengths) - lengths
-    rolling, counts = Rolling(data), np.maximum(lengths - k + 1, 0)
+    starts, counts = np.cumsum(lengths) - lengths, np.maximum(lengths - k + 1, 0)
     string = np.repeat(np.arange(len(lengths)), counts)
     window = ranges(np.zeros(len(lengths)), counts)
     # Windows that more than one order has.
-    place = starts[string] + window
-    hashes = mix(rolling.windows(k)[place] + mix(group.astype(U64))[string]) if len(place) else np.zeros(0, U64)
+    hashes = _hashes(data, starts[string] + window, np.full(len(string), k))
+    hashes = mix(hashes + mix(group.astype(U64))[string])
     by_hash = np.argsort(hashes)
     first = np.flatnonzero(np.append(True, np.diff(hashes[by_hash]) != 0)) if len(hashes) else np.zeros(0, int)
     shared = np.zeros(len(hashes), bool)
@@ -292,7 +305,7 @@ def repeated_parts(group, order, lengths, data, k=MATCH_BYTES):
     left, last = string[new], run_ends(new, len(string)) - 1
     low, high = window[new], window[last] + k
     # Of equal ones those of the first order stay.
-    hashes = mix(rolling.between(starts[left] + low, starts[left] + high) + mix(group[left].astype(U64)))
+    hashes = mix(_hashes(data, starts[left] + low, high - low) + mix(group[left].astype(U64)))
     by_hash = np.lexsort((order[left], hashes))
     new = np.append(True, np.diff(hashes[by_hash]) != 0) if len(left) else np.zeros(0, bool)
     least = order[left][by_hash][np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -319,21 +332,31 @@ def _stream(buckets: int):
 
     def stream(table: pa.Table) -> pa.Table:
         edges = unpack_columns(table.column("rows").to_pylist(), SIDED)
-        lengths = edges["length"].astype(np.int64)
         data = np.frombuffer(b"".join(table.column("strings").to_pylist()), np.uint8)
-        # Documents numbered within their group, in the order of their ids.
+        lengths = edges["length"].astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
         by_doc = np.lexsort((edges["doc"], edges["side"]))
-        side, doc = edges["side"][by_doc], edges["doc"][by_doc]
-        new_group = np.append(True, side[1:] != side[:-1])
-        new_doc = np.cumsum(new_group | np.append(True, doc[1:] != doc[:-1])) - 1
-        group, order = np.empty(len(edges), np.int64), np.empty(len(edges), np.int64)
-        group[by_doc] = np.cumsum(new_group) - 1
-        order[by_doc] = new_doc - new_doc[np.flatnonzero(new_group)][np.cumsum(new_group) - 1]
-        string, start, length = repeated_parts(group, order, lengths, data)
-        spans = np.empty(len(string), SPAN)
-        for name in ("doc", "crc"):
-            spans[name] = edges[name][string]
-        spans["start"], spans["length"] = edges["start"][string] + start, length
+        edges, starts, lengths = edges[by_doc], starts[by_doc], lengths[by_doc]
+        # Documents numbered within their group, in the order of their ids.
+        new_group = np.append(True, edges["side"][1:] != edges["side"][:-1])
+        group = np.cumsum(new_group) - 1
+        new_doc = np.cumsum(new_group | np.append(True, edges["doc"][1:] != edges["doc"][:-1])) - 1
+        first = np.flatnonzero(new_group)
+        order = new_doc - new_doc[first][group]
+        # Whole groups of about a megabyte at a time.
+        before = (np.cumsum(lengths) - lengths)[first]
+        part = (before // (4 * SLICE_BYTES))[group]
+        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(edges)).tolist()
+        found = []
+        for a, b in zip(cuts, cuts[1:]):
+            own = data[ranges(starts[a:b], lengths[a:b])]
+            string, start, length = repeated_parts(group[a:b], order[a:b], lengths[a:b], own)
+            spans = np.empty(len(string), SPAN)
+            for name in ("doc", "crc"):
+                spans[name] = edges[name][a:b][string]
+            spans["start"], spans["length"] = edges["start"][a:b][string] + start, length
+            found.append(spans)
+        spans = np.concatenate(found)
         return pa.Table.from_batches([dealt(spans, doc_bucket(spans["doc"], buckets), "spans")])
 
     return stream
@@ -353,6 +376,7 @@ def remove_repeats(docs: DataFrame, doc="doc_id", text="text", keep_columns=Fals
     and judged each by its own text. With keep_columns the other columns stay; without keep_text,
     `kept` is null. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = rows.where("doc_id is not null")
     size = ordered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
