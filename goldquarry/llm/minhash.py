@@ -32,7 +32,7 @@ SHINGLE_WORDS = 5
 THRESHOLD = 75
 SKETCH = 32
 LEAST_SHARED = 12
-BLOCK_ROWS = 512
+BLOCK_ROWS = 1024
 
 
 def shingle_sets(column, words: int = SHINGLE_WORDS):
