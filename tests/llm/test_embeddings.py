@@ -1,5 +1,6 @@
 import brute
 import numpy as np
+import pytest
 
 from goldquarry.llm import embeddings, queries
 
@@ -59,3 +60,30 @@ def test_copies_and_edge_cases(spark):
 def test_passes_grow_with_the_table():
     counts = [embeddings.passes_for(10**k) for k in range(10)]
     assert counts == sorted(counts) and counts[0] == 1 and counts[-1] > 50
+
+
+def cone(rng, n, mutual, pairs, dim=64):
+    """Unit vectors of a mutual cosine, and partners of the first ones at a cosine of 0.93 or a little more."""
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    axis = unit(rng.standard_normal(dim))
+    off = rng.standard_normal((n, dim))
+    off = unit(off - (off @ axis)[:, None] * axis)
+    some = mutual**0.5 * axis + (1 - mutual) ** 0.5 * off
+    step = rng.standard_normal((pairs, dim))
+    step = unit(step - (step * some[:pairs]).sum(1, keepdims=True) * some[:pairs])
+    cosine = 0.9305
+    return np.concatenate([some, cosine * some[:pairs] + (1 - cosine**2) ** 0.5 * step])
+
+
+@pytest.mark.parametrize("mutual, blocks_for", [(0.7, 8), (0.7, 0.05), (0.8, 8), (0.85, 8)])
+def test_recall_within_a_cone(spark, monkeypatch, mutual, blocks_for):
+    """Vectors of one label close around one axis, with pairs at the threshold; by blocks and by further passes."""
+    monkeypatch.setattr(embeddings, "BLOCKS_FOR", blocks_for)
+    vectors = cone(np.random.default_rng(5), 4000, mutual, 400)
+    rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(vectors)]
+    want = brute.near_vectors(rows)
+    got = result(embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    links = sum(n for n, _ in want.values())
+    assert links >= 800
+    assert sum(n for n, _ in got.values()) >= 0.99 * links
+    assert sum(got[k] == want[k] for k in want) >= 0.99 * len(want)
