@@ -15,8 +15,13 @@ one place. Neighbouring strings with the same smallest gram are one passage of 5
    streamed against those of earlier ones: one index per binary digit of the documents' order holds
    the passages with digit 0 for those with digit 1, so every passage meets all earlier ones only.
 
+4. Passages of a gram that a task has often, or that very many have, don't meet by gram: it would be one
+   group that grows with the corpus. Each of their 50-byte windows meets alone, by its hash, after tasks have
+   kept those of their smallest document. A task that sends a gram this way says so where the gram's other
+   passages meet, and they follow.
+
 Arrays travel as binary columns, a row for each task and bucket, and texts travel compressed. Equal strings are found by 64-bit
-hashes in the second step and by their bytes in the third.
+hashes in the second and fourth step and by their bytes in the third.
 """
 
 import hashlib
@@ -45,6 +50,8 @@ PLACE_BITS = U64(30)
 SIDE_BYTES = GRAMS // 2
 # Passages of one gram from which on it is grouped by its sides as well.
 COMMON_GRAM = 500
+# Passages of one gram in a task's chunk, and in all, from which on its windows meet one by one.
+OFTEN, VERY_COMMON = 16, 5000
 # Patterns streamed at once.
 STREAMED = 20_000
 
@@ -52,10 +59,13 @@ STREAMED = 20_000
 OWNER = [("doc", "<i8"), ("crc", "<u4")]
 PASSAGE = np.dtype([("gram", "<u4"), ("string", "<u8"), *OWNER, ("start", "<i4"), ("length", "u1")])
 SPAN = np.dtype([*OWNER, ("start", "<i4"), ("length", "<i4")])
-EDGE = np.dtype([*OWNER, ("start", "<i4"), ("length", "u1"), ("common", "?")])
+EDGE = np.dtype([*OWNER, ("start", "<i4"), ("length", "u1"), ("common", "u1")])
 # The same within the row of their owner.
 OWN_SPAN = np.dtype(SPAN.descr[len(OWNER) :])
 OWN_EDGE = np.dtype(EDGE.descr[len(OWNER) :])
+# What an edge meets by: its gram, the gram and a side of it, or each of its windows.
+BY_GRAM, BY_SIDE, BY_WINDOW = 0, 1, 2
+WINDOW = np.dtype([("hash", "<u8"), *OWNER, ("start", "<i4")])
 SIDED = np.dtype([("side", "<u8"), *OWNER, ("start", "<i4"), ("length", "u1")])
 
 
@@ -96,7 +106,14 @@ def _cut(buckets: int):
         repeated = rows["doc"] > least
         kept = rows[~repeated]
         kept = kept[np.argsort(kept["doc"], kind="stable")]
-        yield dealt(kept, (kept["gram"] % np.uint32(buckets)).astype(np.int64), "passages")
+        grams, group, n = np.unique(kept["gram"], return_inverse=True, return_counts=True)
+        often = (n >= OFTEN)[group]
+        # A passage of no bytes tells the others of its gram.
+        told = np.zeros(int((n >= OFTEN).sum()), PASSAGE)
+        told["gram"] = grams[n >= OFTEN]
+        sent = np.concatenate([kept[~often], told])
+        yield dealt(sent, (sent["gram"] % np.uint32(buckets)).astype(np.int64), "passages")
+        yield _edges(kept[often], np.full(int(often.sum()), BY_WINDOW), buckets)
         yield _spans(rows[repeated], buckets)
 
     def cut(batches):
@@ -128,14 +145,24 @@ def _spans(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
     return dealt(spans, doc_bucket(spans["doc"], buckets), "spans")
 
 
+def _edges(rows: np.ndarray, common: np.ndarray, buckets: int) -> pa.RecordBatch:
+    edges = np.empty(len(rows), EDGE)
+    for name in SIDED.names[1:]:
+        edges[name] = rows[name]
+    edges["common"] = common
+    return dealt(edges, doc_bucket(edges["doc"], buckets), "edges")
+
+
 def _meet(buckets: int):
     """Step 2: spans to remove, and edges, passages that share a gram with other passages of other documents."""
 
     def meet(table: pa.Table) -> pa.Table:
         rows = unpack_columns(table.column("rows").to_pylist(), PASSAGE)
+        told = np.unique(rows["gram"][rows["length"] == 0])
+        rows = rows[rows["length"] > 0]
         rows = rows[np.lexsort((rows["start"], rows["doc"], rows["string"], rows["gram"]))]
-        gram = np.append(True, rows["gram"][1:] != rows["gram"][:-1])
-        string = gram | np.append(True, rows["string"][1:] != rows["string"][:-1])
+        gram = np.append(True, rows["gram"][1:] != rows["gram"][:-1])[: len(rows)]
+        string = gram | np.append(True, rows["string"][1:] != rows["string"][:-1])[: len(rows)]
         least = rows["doc"][np.flatnonzero(string)][np.cumsum(string) - 1]
         repeated = rows["doc"] > least
         spans = _spans(rows[repeated], buckets)
@@ -146,15 +173,13 @@ def _meet(buckets: int):
         if len(rows):
             strings = np.add.reduceat(string.astype(np.int64), first)
             low, high = np.minimum.reduceat(rows["doc"], first), np.maximum.reduceat(rows["doc"], first)
-            several = ((strings > 1) & (low < high))[group]
-            common = np.bincount(group) >= COMMON_GRAM
+            n = np.bincount(group)
+            elsewhere = np.isin(rows["gram"][first], told)
+            several = (((strings > 1) & (low < high)) | elsewhere)[group]
+            common = np.where(elsewhere | (n >= VERY_COMMON), BY_WINDOW, np.where(n >= COMMON_GRAM, BY_SIDE, BY_GRAM))
         else:
-            several = common = np.zeros(0, bool)
-        edges = np.empty(int(several.sum()), EDGE)
-        for name in SIDED.names[1:]:
-            edges[name] = rows[name][several]
-        edges["common"] = common[group[several]]
-        return pa.Table.from_batches([spans, dealt(edges, doc_bucket(edges["doc"], buckets), "edges")])
+            several, common = np.zeros(0, bool), np.zeros(0, int)
+        return pa.Table.from_batches([spans, _edges(rows[several], common[group[several]], buckets)])
 
     return meet
 
@@ -182,7 +207,7 @@ def _merge(spans: np.ndarray) -> np.ndarray:
 
 
 def _sides(data: np.ndarray, lengths: np.ndarray, common: np.ndarray):
-    """(string, key) for the gram of each string; if that is common, with the bytes before it and with those after it."""
+    """(string, key) for the gram of each string; BY_SIDE with the bytes before it and with those after it; none BY_WINDOW."""
     ends = np.cumsum(lengths)
     starts = ends - lengths
     rolling = Rolling(data)
@@ -192,18 +217,78 @@ def _sides(data: np.ndarray, lengths: np.ndarray, common: np.ndarray):
     cuts = np.stack([starts, ends - GRAM_BYTES + 1], 1).ravel()
     cuts = cuts[cuts < len(marked)]
     place = (np.minimum.reduceat(marked, cuts)[::2] & ((U64(1) << PLACE_BITS) - U64(1))).astype(np.int64)
-    alone = np.flatnonzero(~common)
+    alone = np.flatnonzero(common == BY_GRAM)
     found = [(alone, mix(grams[place[alone]]))]
     for salt, low, high in ((1, place - SIDE_BYTES, place + GRAM_BYTES), (2, place, place + GRAM_BYTES + SIDE_BYTES)):
-        there = np.flatnonzero(common & (low >= starts) & (high <= ends))
+        there = np.flatnonzero((common == BY_SIDE) & (low >= starts) & (high <= ends))
         found.append((there, mix(rolling.between(low[there], high[there]) + U64(salt))))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def _first_ones(rows: np.ndarray):
+    """Windows of the smallest document with their hash, and all others."""
+    rows = rows[np.lexsort((rows["start"], rows["doc"], rows["hash"]))]
+    new = np.append(True, rows["hash"][1:] != rows["hash"][:-1])[: len(rows)]
+    later = rows["doc"] > rows["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return rows[~later], rows[later]
+
+
+def _window_spans(rows: np.ndarray) -> np.ndarray:
+    """The bytes of windows, those that follow one another in one span."""
+    rows = rows[np.lexsort((rows["start"], rows["crc"], rows["doc"]))]
+    step = np.any([rows[n][1:] != rows[n][:-1] for n in ("doc", "crc")], axis=0) | (np.diff(rows["start"]) > MATCH_BYTES)
+    begin = np.flatnonzero(np.append(True, step)[: len(rows)])
+    end = run_ends(begin, len(rows)) - 1
+    spans = np.empty(len(begin), SPAN)
+    for name in ("doc", "crc", "start"):
+        spans[name] = rows[name][begin]
+    spans["length"] = rows["start"][end] + MATCH_BYTES - rows["start"][begin]
+    return spans
+
+
+def _window_rows(edges: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The windows of edges, whose bytes lie one after another."""
+    lengths = edges["length"].astype(np.int64)
+    counts = lengths - MATCH_BYTES + 1
+    string, window = np.repeat(np.arange(len(edges)), counts), ranges(np.zeros(len(edges)), counts)
+    starts = (np.cumsum(lengths) - lengths)[string] + window
+    rows = np.empty(len(string), WINDOW)
+    rows["hash"] = _hashes(data, starts, np.full(len(starts), MATCH_BYTES))
+    for name in ("doc", "crc"):
+        rows[name] = edges[name][string]
+    rows["start"] = edges["start"][string] + window
+    return rows
+
+
 def _edge_strings(buckets: int):
-    """Bytes of the edges of documents, by side: (bucket, rows, strings)."""
+    """Bytes of the edges of documents, by side, and hashes of windows: (kind, bucket, rows, strings)."""
+
+    def plain(batch: pa.RecordBatch) -> pa.RecordBatch:
+        empty = pa.array([b""] * batch.num_rows, pa.binary())
+        return pa.RecordBatch.from_arrays([*batch.columns, empty], names=["kind", "bucket", "rows", "strings"])
+
+    def send(held):
+        first, later = _first_ones(np.concatenate(held))
+        first = first[np.lexsort((first["start"], first["doc"]))]
+        yield plain(dealt(first, (first["hash"] % U64(buckets)).astype(np.int64), "windows"))
+        yield plain(_spans(_window_spans(later), buckets))
 
     def cut(batches):
+        held, n = [], 0
+        for edges, data, batch in by_side(batches):
+            yield batch
+            chosen = edges["common"] == BY_WINDOW
+            lengths = edges["length"].astype(np.int64)
+            own = data[ranges((np.cumsum(lengths) - lengths)[chosen], lengths[chosen])]
+            held.append(_window_rows(edges[chosen], own))
+            n += len(held[-1])
+            if n >= HELD:
+                yield from send(held)
+                held, n = [], 0
+        if n:
+            yield from send(held)
+
+    def by_side(batches):
         expand = zstandard.ZstdDecompressor().decompress
         for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             rows, strings = [], []
@@ -227,14 +312,16 @@ def _edge_strings(buckets: int):
                 rows[name] = edges[name][string]
             cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
             out = np.split(order, cuts[1:]) if len(order) else []
-            yield pa.RecordBatch.from_arrays(
+            batch = pa.RecordBatch.from_arrays(
                 [
+                    pa.array(["sides"] * len(out), pa.string()),
                     pa.array([int(bucket[o[0]]) for o in out], pa.int64()),
                     pa.array([pack_columns(rows[o]) for o in out], pa.binary()),
                     pa.array([b"".join(strings[i] for i in string[o].tolist()) for o in out], pa.binary()),
                 ],
-                names=["bucket", "rows", "strings"],
+                names=["kind", "bucket", "rows", "strings"],
             )
+            yield edges, data, batch
 
     return cut
 
@@ -328,9 +415,15 @@ def repeated_parts(group, order, lengths, data, k=MATCH_BYTES):
 
 
 def _stream(buckets: int):
-    """Step 3."""
+    """Steps 3 and 4."""
 
     def stream(table: pa.Table) -> pa.Table:
+        kind = table.column("kind")[0].as_py()
+        if kind == "spans":
+            return table.select(["kind", "bucket", "rows"])
+        if kind == "windows":
+            _, later = _first_ones(unpack_columns(table.column("rows").to_pylist(), WINDOW))
+            return pa.Table.from_batches([_spans(_window_spans(later), buckets)])
         edges = unpack_columns(table.column("rows").to_pylist(), SIDED)
         data = np.frombuffer(b"".join(table.column("strings").to_pylist()), np.uint8)
         lengths = edges["length"].astype(np.int64)
@@ -387,8 +480,8 @@ def remove_repeats(docs: DataFrame, doc="doc_id", text="text", keep_columns=Fals
     edges = met.where("kind = 'edges'").groupBy("bucket").applyInArrow(_by_doc(EDGE, OWN_EDGE), by_doc)
     edges = stage(edges, "edges-by-document")
     strings = packed_texts(ordered).join(edges, ["doc_id", "crc"])
-    strings = strings.mapInArrow(_edge_strings(buckets), "bucket long, rows binary, strings binary")
-    streamed = strings.groupBy("bucket").applyInArrow(_stream(buckets), DEALT)
+    strings = strings.mapInArrow(_edge_strings(buckets), "kind string, bucket long, rows binary, strings binary")
+    streamed = strings.groupBy("kind", "bucket").applyInArrow(_stream(buckets), DEALT)
     spans = met.where("kind = 'spans'").unionByName(streamed)
     spans = stage(spans.groupBy("bucket").applyInArrow(_by_doc(SPAN, OWN_SPAN, _merge), by_doc), "spans-by-document")
     others = [c for c in docs.columns if keep_columns and c not in (doc, text, "doc_id", "text", *RESULT.names)]
@@ -405,7 +498,7 @@ def _pass_or_meet(buckets: int):
     meet = _meet(buckets)
 
     def apply(table: pa.Table) -> pa.Table:
-        return table if table.column("kind")[0].as_py() == "spans" else meet(table)
+        return meet(table) if table.column("kind")[0].as_py() == "passages" else table
 
     return apply
 

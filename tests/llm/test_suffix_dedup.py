@@ -3,6 +3,8 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from goldquarry.llm import queries, suffix_dedup
@@ -117,3 +119,30 @@ def test_run_index_finds_all_windows(seed):
             while row[i] >= 0 and n < len(rest) and row[i] + n < len(index.text) and index.text[row[i] + n] == rest[n] + index.offset:
                 n += 1
             assert n == best
+
+
+def lines_in_all(n):
+    """Texts with one line in all of them, some edges of it shared by few."""
+    rng = random.Random(11)
+    draw = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    line, edges = draw(300), [draw(20) for _ in range(n // 4)]
+    return [(i, draw(60) + rng.choice(edges) + line + rng.choice(edges) + draw(60)) for i in range(n)]
+
+
+def test_a_common_line_is_no_group():
+    """However many documents have a line, few of its edges meet in one place."""
+    ids, texts = zip(*lines_in_all(400))
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    sent = pa.Table.from_batches([*suffix_dedup._cut(1)([batch])])
+    blobs = sent.filter(pc.field("kind") == "passages").column("rows").to_pylist()
+    grams = suffix_dedup.unpack_columns(blobs, suffix_dedup.PASSAGE)["gram"]
+    assert np.unique(grams, return_counts=True)[1].max() < 20
+
+
+@pytest.mark.parametrize("often, very_common, held", [(3, 5000, 300), (16, 20, 1 << 17), (2, 3, 60)])
+def test_windows_of_common_lines(spark, monkeypatch, often, very_common, held):
+    for name, value in (("OFTEN", often), ("VERY_COMMON", very_common), ("COMMON_GRAM", 10), ("HELD", held)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    docs = lines_in_all(200)
+    df = spark.createDataFrame(docs, SCHEMA).repartition(4)
+    assert result(suffix_dedup.remove_repeats(df)) == brute.without_repeats(docs)
