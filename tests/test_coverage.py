@@ -1,6 +1,6 @@
 """Coverage counts, gaps, cross-tabs and facets."""
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from goldquarry.operators import coverage

@@ -1,7 +1,7 @@
 """Annotation with stored responses, label edits and augmentation."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """Scoring, metrics, summaries and matrices."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from goldquarry.operators import evaluate, inference, sampling

@@ -1,7 +1,7 @@
 """Keyed joins: duplicates, hot keys and path resolution."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

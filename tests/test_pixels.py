@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import png, rows
+from helpers import png, rows
 from pyspark.sql import functions as F
 
 from goldquarry.operators import pixels

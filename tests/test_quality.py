@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from goldquarry.operators import quality

@@ -1,7 +1,7 @@
 """Samples and query sets."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from goldquarry.operators import sampling

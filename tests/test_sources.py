@@ -4,7 +4,7 @@ import base64
 import os
 
 import pytest
-from conftest import png, rows
+from helpers import png, rows
 from pyspark.sql import functions as F
 
 from goldquarry import schema

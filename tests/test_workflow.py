@@ -1,7 +1,7 @@
 """All phases end to end over a folder of generated images."""
 
 import pytest
-from conftest import png, rows
+from helpers import png, rows
 
 from goldquarry.params import JobParams
 from goldquarry.plans import workflow
