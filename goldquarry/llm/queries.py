@@ -15,6 +15,7 @@ from goldquarry.llm import (
     minhash,
     packing,
     suffix_dedup,
+    toxicity,
     url_filter,
 )
 
@@ -193,3 +194,11 @@ def op9_suffix_dedup(spark, sf_dir):
 @query("op10_substring_dedup")
 def op10_substring_dedup(spark, sf_dir):
     return chaining.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark, sf_dir):
+    documents = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, labels))
+    return scored.withColumn("held_out", toxicity.held_out(F.col("doc_id")))
