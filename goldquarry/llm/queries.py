@@ -13,7 +13,9 @@ from goldquarry.llm import (
     language,
     licenses,
     minhash,
+    negatives,
     packing,
+    periodic,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -202,3 +204,115 @@ def op11_toxicity(spark, sf_dir):
     labels = read(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
     scored = toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, labels))
     return scored.withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH sound AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS components
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+        CAST(list_dot_product(a.components, r.components) AS BIGINT) AS score
+      FROM sound a JOIN sound r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+    ), positives AS (
+      SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(row_number() OVER found AS INTEGER) AS rank, id AS negative_id,
+      positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+    WINDOW found AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+    QUALIFY rank <= 10
+    """,
+)
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.mine_negatives(vectors, F.col("vec_id") % 100 == 0, vector="embedding")
+
+
+# crc32 of a decimal id, bit by bit: every byte is followed by eight shifts.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+  string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END))"""
+_BLANK_SEPARATED = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+
+
+@query(
+    "op13_periodic_runs",
+    f"""
+    WITH plain AS (
+      SELECT doc_id, coalesce({_BLANK_SEPARATED.format('text')}, []) AS w, {_CRC32} AS h FROM documents
+    ), shaped AS (
+      SELECT *, len(w) AS n, (h // 10) % len(w) AS a, h // 10 AS g FROM plain
+    ), changed AS (
+      SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+        w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM shaped
+    ), word AS (
+      SELECT doc_id, len(w) AS n, unnest(range(len(w))) AS i, unnest(w) AS word FROM changed
+    ), equal AS (
+      SELECT x.doc_id, y.i - x.i AS period, x.i AS i
+      FROM word x JOIN word y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+    ), island AS (
+      SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM equal
+    ), stretch AS (
+      SELECT doc_id, period, min(i) AS start, count(*) + period AS length FROM island GROUP BY doc_id, period, island
+    ), run AS (
+      SELECT doc_id, start, length, min(period) AS period FROM stretch WHERE length >= greatest(6, 4 * period)
+      GROUP BY doc_id, start, length
+    ), listed AS (
+      SELECT doc_id, count(*) AS n_runs, first(run ORDER BY length DESC, start, period) AS best,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+      FROM run GROUP BY doc_id
+    ), repeated AS (
+      SELECT DISTINCT doc_id, i FROM run, unnest(range(start + period, start + length)) r(i)
+    ), kept AS (
+      SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+      FROM word LEFT JOIN (SELECT *, true AS gone FROM repeated) USING (doc_id, i) WHERE gone IS NULL GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, best.start AS start,
+      CAST(best.length AS BIGINT) AS length, CAST(best.period AS BIGINT) AS period,
+      CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli,
+      sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+    FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op13_periodic_runs(spark, sf_dir):
+    # Every tenth document, by its id's checksum, repeats part of itself.
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    parts = F.struct(words.alias("w"), F.floor(checksum / 10).cast("long").alias("g"))
+
+    def repeating(made):
+        w, g = made["w"], made["g"]
+        n = F.size(w).cast("long")
+        start = g % n
+        period = 1 + F.floor((n - start) / (3 + g % 8)).cast("long")
+        place = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period).cast("int")
+        words = F.transform(w, lambda word, i: F.get(w, place(i.cast("long"))))
+        return F.when(n > 0, F.array_join(words, " ")).otherwise("")
+
+    made = F.transform(F.array(parts), repeating)[0]
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.when((checksum % 10 == 0) & F.col("text").isNotNull(), made).otherwise(F.col("text"))
+    found = periodic.find_runs(documents.withColumn("text", text))
+    longest = F.reduce(
+        "runs",
+        F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        lambda best, run: F.when(best.isNull() | (run["length"] > best["length"]), run).otherwise(best),
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
