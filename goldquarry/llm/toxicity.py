@@ -233,7 +233,6 @@ class Skeletons:
         self.may_end[self.lasts] = True
         self.may_end[self.inner_lasts] = True
         self.hash = Rolling(sym[~again])
-        self.words_before = np.searchsorted(self.firsts, np.searchsorted(self.text, np.arange(len(offsets))))
 
     def segments(self):
         """(text, hash, hash of the neighbours) of each segment, with and without signs at its edges."""
@@ -295,15 +294,15 @@ def _words_found(made: Skeletons, targets, model):
     lengths, hashes = targets
     if not len(hashes) or not len(made.begin):
         return
-    whole = cached_neighbours(made)
+    around_of = _neighbours(made)
     for first, last in made.hits(lengths, hashes).tolist():
-        around = whole(first, last)
+        around = around_of(first, last)
         for word in re.findall(r"[^\W\d_]+", _reading(made.chars(first, last), model)):
             yield int(made.text[first]), word, around
 
 
-def cached_neighbours(made: Skeletons):
-    """Hash of the segments before and after a chain."""
+def _neighbours(made: Skeletons):
+    """A function that hashes the segments before and after a chain."""
     whole = made.hash.between(made.firsts, made.lasts + 1).astype(U64)
     text = made.text[made.firsts]
     place = {int(s): i for i, s in enumerate(made.segment[made.firsts].tolist())}
@@ -335,14 +334,18 @@ class ToxicWords:
         lengths = np.unique(np.array([n for n, _ in made if n], np.int64))
         return lengths, np.unique(np.array([h for n, h in made if n], U64))
 
-    def score(self, evidence: np.ndarray, greatest: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    def score(self, evidence: np.ndarray, greatest: np.ndarray) -> np.ndarray:
         mean, spread, slopes = self.calibration
-        x = (_features(evidence, greatest, n_words) - mean) / spread
+        x = (_features(evidence, greatest) - mean) / spread
         return 1 / (1 + np.exp(-np.clip(x @ slopes[:-1] + slopes[-1], -30, 30)))
 
 
-def _features(evidence, greatest, n_words):
-    return np.stack([evidence, greatest, np.log1p(evidence), np.log1p(n_words)], 1)
+def _features(evidence, greatest):
+    return np.stack([evidence, greatest, np.log1p(evidence)], 1)
+
+
+# Scores of a model that has learnt nothing: 0, but for rounding.
+NOTHING_LEARNT = (np.zeros(3), np.ones(3), np.array([0.0, 0.0, 0.0, -30.0]))
 
 
 def word_weights(toxic: dict, clean: dict, n_toxic: float, n_clean: float) -> dict:
@@ -360,16 +363,23 @@ def word_weights(toxic: dict, clean: dict, n_toxic: float, n_clean: float) -> di
 
 
 def _calibrated(x: np.ndarray, y: np.ndarray, weight: np.ndarray):
-    """Logistic regression by Newton steps: means, spreads and slopes with the intercept last."""
+    """Logistic regression by Newton steps: means, spreads and slopes with the intercept last.
+
+    More evidence never lowers a score: features with a negative slope are left out, and the rest is fitted again.
+    """
     mean, spread = x.mean(0), x.std(0) + 1e-9
     z = np.c_[(x - mean) / spread, np.ones(len(x))]
-    slopes = np.zeros(z.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(z @ slopes, -30, 30)))
-        gradient = z.T @ (weight * (y - p)) - RIDGE * slopes
-        curvature = (z * (weight * p * (1 - p))[:, None]).T @ z + RIDGE * np.eye(len(slopes))
-        slopes = slopes + np.linalg.solve(curvature, gradient)
-    return mean, spread, slopes
+    used = np.ones(z.shape[1], bool)
+    while True:
+        slopes, here = np.zeros(z.shape[1]), z[:, used]
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(here @ slopes[used], -30, 30)))
+            gradient = here.T @ (weight * (y - p)) - RIDGE * slopes[used]
+            curvature = (here * (weight * p * (1 - p))[:, None]).T @ here + RIDGE * np.eye(here.shape[1])
+            slopes[used] += np.linalg.solve(curvature, gradient)
+        if (slopes[:-1] >= 0).all():
+            return mean, spread, slopes
+        used[:-1] &= slopes[:-1] >= 0
 
 
 def _segment_rows(batches):
@@ -386,21 +396,19 @@ def _segment_rows(batches):
 def _found_rows(targets, shared):
     def find(batches):
         for batch in batches:
-            names = ["key", "toxic", "half", "n_words", "word", "around"]
+            names = ["key", "toxic", "half", "word", "around"]
             out = {name: [] for name in names}
             known = {name: batch.column(name).to_pylist() for name in ("key", "toxic", "half")}
             for row, data, offsets in text_slices(batch.column("text")):
                 made = Skeletons(data, offsets)
-                n_words = np.diff(made.words_before).tolist()
                 # A row without a word for every text, and one for every restored word.
                 found = [(t, None, None) for t in range(len(offsets) - 1)] + list(_words_found(made, targets, shared.value))
                 for text, word, around in found:
                     for name in known:
                         out[name].append(known[name][row + text])
-                    out["n_words"].append(n_words[text])
                     out["word"].append(word)
                     out["around"].append(around)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(names, types)], names=names)
 
     return find
@@ -421,7 +429,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc="doc_id", text="text",
     known = stage(known.groupBy("key").agg(F.max("toxic").cast("long").alias("toxic")), "toxic-labels")
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
-        return ToxicWords(characters, {}, (np.zeros(4), np.ones(4), np.array([0.0] * 4 + [-30.0])))
+        return ToxicWords(characters, {}, NOTHING_LEARNT)
     share = F.when(F.col("toxic") == 1, min(1.0, sample_docs / sizes[1])).otherwise(min(1.0, sample_docs / sizes[0]))
     drawn = known.where(F.pmod(F.xxhash64("key", F.lit("toxicity sample")), F.lit(1 << 20)) < share * (1 << 20))
     # At most about twice sample_docs narrow rows.
@@ -446,7 +454,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc="doc_id", text="text",
     targets = (np.arange(1, 65), hashes)
 
     shared = docs.sparkSession.sparkContext.broadcast(characters)
-    schema = "key long, toxic long, half long, n_words long, word string, around long"
+    schema = "key long, toxic long, half long, word string, around long"
     found = stage(sample.mapInArrow(_found_rows(targets, shared), schema), "toxic-words")
     contexts = found.where("word IS NOT NULL").select("word", "around", "toxic", "half").distinct()
     sums = contexts.groupBy("word", "half").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
@@ -464,16 +472,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc="doc_id", text="text",
     # Evidence of each document by weights of the other half, so that no document vouches for itself.
     halves = [(w, 1 - half, x) for half in (0, 1) for w, x in weights(half).items()]
     table = docs.sparkSession.createDataFrame(halves, "word string, half long, weight double")
-    once = found.select("key", "toxic", "half", "n_words", "word").distinct()
+    once = found.select("key", "toxic", "half", "word").distinct()
     evidence = once.join(F.broadcast(table), ["word", "half"], "left").groupBy("key", "toxic").agg(
         F.sum(F.coalesce("weight", F.lit(0.0))).alias("evidence"),
         F.max(F.coalesce("weight", F.lit(0.0))).alias("greatest"),
-        F.max("n_words").alias("n_words"),
     )
     seen = evidence.orderBy("key").toArrow()
     if not seen.num_rows:
-        return ToxicWords(characters, {}, (np.zeros(4), np.ones(4), np.array([0.0] * 4 + [-30.0])))
-    x = _features(*(seen.column(n).to_numpy().astype(float) for n in ("evidence", "greatest", "n_words")))
+        return ToxicWords(characters, {}, NOTHING_LEARNT)
+    x = _features(*(seen.column(n).to_numpy() for n in ("evidence", "greatest")))
     y = seen.column("toxic").to_numpy().astype(float)
     weight = np.where(y == 1, sizes[1] / max(y.sum(), 1), sizes[0] / max((1 - y).sum(), 1))
     weight *= len(y) / weight.sum()
@@ -508,7 +515,7 @@ def score_toxicity(docs: DataFrame, model: ToxicWords, doc="doc_id", text="text"
                         words[at].add(word)
                 evidence = np.array([sum(fitted.weights[w] for w in sorted(found)) for found in words])
                 greatest = np.array([max((fitted.weights[w] for w in found), default=0.0) for found in words])
-                scores = fitted.score(evidence, greatest, np.diff(made.words_before))
+                scores = fitted.score(evidence, greatest)
                 columns = {
                     "doc_id": batch.column("doc_id").slice(row, n),
                     "score": pa.array(scores, pa.float64()),
