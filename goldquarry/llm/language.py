@@ -22,6 +22,8 @@ BUCKETS = 1 << 15
 MASK = np.uint32(BUCKETS - 1)
 SWITCH = 12.0
 BLOCK = 32
+# Numbers of the Viterbi matrices that are held at once.
+HELD_NUMBERS = 1 << 22
 # Documents per language that the model is fitted on, about.
 SAMPLE_DOCS = 1500
 # A language is a candidate for a script that has this share of its letters in the sample.
@@ -143,46 +145,55 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = SWITCH) -> n
     at = np.minimum(start[:, None] + np.arange(BLOCK), total - 1)
     here = np.arange(BLOCK) < length[:, None]
 
-    # Matrices: best score from the language before the block to the one of its last word.
-    best = np.where(np.eye(n, dtype=bool), 0.0, -np.inf)[None].repeat(blocks, 0)
-    for t in range(BLOCK):
-        step = np.maximum(best, best.max(2, keepdims=True) - penalty) + scores[at[:, t]][:, None, :]
-        best = np.where(here[:, t, None, None], step, best)
+    # Parts of few blocks, by their place in the text: the matrices of a part are all that is held at once.
+    order = np.argsort(index, kind="stable")
+    size = max(1, HELD_NUMBERS // (n * max(n, BLOCK)))
+    parts = [order[i : i + size] for i in range(0, blocks, size)]
 
-    # The blocks of a text one after another, all texts at once.
+    def steps(part):
+        """Blocks of a part that stand at one place of their texts, place by place."""
+        for some in np.split(part, np.flatnonzero(np.diff(index[part])) + 1):
+            yield some, text[some]
+
+    # Best score from the language before a block to the one of its last word; then block after block, all texts at once.
     enter = np.zeros((blocks, n))
     state = np.zeros((len(sizes), n))
-    for k in range(int(per_text.max())):
-        texts = np.flatnonzero(per_text > k)
-        now = block_first[texts] + k
-        state[texts] -= state[texts].max(1, keepdims=True)
-        enter[now] = state[texts]
-        state[texts] = (state[texts][:, :, None] + best[now]).max(1)
+    place = np.empty(blocks, np.int64)
+    for part in parts:
+        best = np.where(np.eye(n, dtype=bool), 0.0, -np.inf)[None].repeat(len(part), 0)
+        for t in range(BLOCK):
+            step = np.maximum(best, best.max(2, keepdims=True) - penalty) + scores[at[part, t]][:, None, :]
+            best = np.where(here[part, t, None, None], step, best)
+        place[part] = np.arange(len(part))
+        for now, texts in steps(part):
+            state[texts] -= state[texts].max(1, keepdims=True)
+            enter[now] = state[texts]
+            state[texts] = (state[texts][:, :, None] + best[place[now]]).max(1)
 
     # Once more inside the blocks, now with the true scores before them; then back from any end.
-    stay, came = np.ones((BLOCK, blocks, n), bool), np.zeros((BLOCK, blocks), np.int64)
-    value = enter
-    for t in range(BLOCK):
-        came[t] = value.argmax(1)
-        switched = value.max(1, keepdims=True) - penalty
-        stay[t] = value >= switched
-        value = np.where(here[:, t, None], np.maximum(value, switched) + scores[at[:, t]], value)
-    path = np.zeros((BLOCK, blocks, n), np.int8)
-    label = np.tile(np.arange(n), (blocks, 1))
-    for t in range(BLOCK - 1, -1, -1):
-        path[t] = label
-        before = np.where(np.take_along_axis(stay[t], label, 1), label, came[t][:, None])
-        label = np.where(here[:, t, None], before, label)
     last = state.argmax(1)
-    chosen = np.zeros(blocks, np.int64)
-    for k in range(int(per_text.max()) - 1, -1, -1):
-        texts = np.flatnonzero(per_text > k)
-        now = block_first[texts] + k
-        chosen[now] = last[texts]
-        last[texts] = label[now, last[texts]]
     labels = np.empty(total, np.int64)
-    picked = path[:, np.arange(blocks), chosen].T
-    labels[(start[:, None] + np.arange(BLOCK))[here]] = picked[here]
+    for part in reversed(parts):
+        stay, came = np.ones((BLOCK, len(part), n), bool), np.zeros((BLOCK, len(part)), np.int64)
+        value = enter[part]
+        for t in range(BLOCK):
+            came[t] = value.argmax(1)
+            switched = value.max(1, keepdims=True) - penalty
+            stay[t] = value >= switched
+            value = np.where(here[part, t, None], np.maximum(value, switched) + scores[at[part, t]], value)
+        path = np.zeros((BLOCK, len(part), n), np.int32)
+        label = np.tile(np.arange(n), (len(part), 1))
+        for t in range(BLOCK - 1, -1, -1):
+            path[t] = label
+            before = np.where(np.take_along_axis(stay[t], label, 1), label, came[t][:, None])
+            label = np.where(here[part, t, None], before, label)
+        place[part] = np.arange(len(part))
+        chosen = np.zeros(len(part), np.int64)
+        for now, texts in reversed(list(steps(part))):
+            chosen[place[now]] = last[texts]
+            last[texts] = label[place[now], last[texts]]
+        picked = path[:, np.arange(len(part)), chosen].T
+        labels[(start[part, None] + np.arange(BLOCK))[here[part]]] = picked[here[part]]
     return labels
 
 
@@ -235,8 +246,8 @@ def fit_languages(docs: DataFrame, text="text", lang="lang", sample_key="doc_id"
     counted = sample.mapInArrow(_gram_counts(languages), "language long, slot long, n long")
     slots = 2 * (BUCKETS + 1)
     table = np.zeros((len(languages), slots + len(SCRIPT_NAMES)))
-    for language, slot, n in counted.groupBy("language", "slot").agg(F.sum("n")).collect():
-        table[language, slot] = n
+    sums = counted.groupBy("language", "slot").agg(F.sum("n").alias("n")).toArrow()
+    table[sums.column("language").to_numpy(), sums.column("slot").to_numpy()] = sums.column("n").to_numpy()
     grams = table[:, :slots].reshape(len(languages), 2, BUCKETS + 1)
     total = grams[:, :, :BUCKETS].sum(2, keepdims=True)
     logs = np.log((grams + SMOOTHING) / (total + SMOOTHING * BUCKETS))

@@ -7,7 +7,7 @@ go to which sequences; pieces are ranked in parallel within hash slices of their
 that a third of the pieces share is spread as well.
 """
 
-import base64
+import re
 import zlib
 from bisect import bisect_right
 from collections import deque
@@ -28,13 +28,31 @@ SLICE_ROWS = 100_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+# Runs of white space so long that the fast encoder's pattern would need too deep a stack.
+LONG_SPACE = re.compile(r"\s{20000}")
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return cached(("tokenizer", path), lambda: Tokenizer.from_file(path))
+
+
 def _encoder(path: str):
+    """A faster encoder with the vocabulary of the tokenizer's file; ids are the ranks of a byte-level BPE's merges."""
     import public_tokenizers
     import tiktoken
 
     def build():
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        vocabulary, alphabet = _tokenizer(path).get_vocab(with_added_tokens=False), byte_alphabet()
+        ranks = {bytes(map(alphabet.__getitem__, token)): i for token, i in vocabulary.items() if token != END_OF_TEXT}
         return tiktoken.Encoding(
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
             special_tokens={END_OF_TEXT: len(ranks)},
@@ -43,11 +61,16 @@ def _encoder(path: str):
     return cached(("encoder", path), build)
 
 
+def _blank(c: str) -> bool:
+    """White space as the vocabulary's pattern has it: without the separators U+001C to U+001F."""
+    return c.isspace() and not "\x1c" <= c <= "\x1f"
+
+
 def _cuts(text: str):
     start = 0
     while len(text) - start > CUT_CHARS:
         end = start + CUT_CHARS
-        while end < len(text) and not (text[end].isspace() and not text[end - 1].isspace()):
+        while end < len(text) and not (_blank(text[end]) and not _blank(text[end - 1])):
             end += 1
         yield text[start:end]
         start = end
@@ -57,10 +80,13 @@ def _cuts(text: str):
 def token_ids(text: str, path: str) -> np.ndarray:
     """Ids of a text, the end-of-text string read as its special token, then id 0."""
     encoder = _encoder(path)
-    parts = [
-        np.asarray(encoder.encode_to_numpy(part, allowed_special="all"), np.uint32) for part in _cuts(text) if part
-    ]
-    return np.concatenate([*parts, np.zeros(1, np.uint32)])
+
+    def encode(part):
+        if LONG_SPACE.search(part):
+            return np.array(_tokenizer(path).encode(part, add_special_tokens=False).ids, np.uint32)
+        return np.asarray(encoder.encode_to_numpy(part, allowed_special="all"), np.uint32)
+
+    return np.concatenate([*(encode(part) for part in _cuts(text) if part), np.zeros(1, np.uint32)])
 
 
 def tokenize(docs: DataFrame, vocabulary: str, window: int, doc="doc_id", text="text", keep_ids=False) -> DataFrame:
@@ -192,7 +218,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_length.
 
-    `vocabulary` is a rank file of a byte-level BPE. Sequences hold at most `window` ids; offsets are
+    `vocabulary` is the `tokenizers` file of a byte-level BPE. Sequences hold at most `window` ids; offsets are
     gapless from 0. padded_length is `window`, or the sequence's own length where that is a power of
     two. Null and empty texts give one piece of one id; repeated rows are separate documents; an
     empty table gives no rows; other columns are ignored. With keep_ids, `ids` holds the piece's ids

@@ -27,7 +27,7 @@ ORACLES: dict[str, str] = {}
 SEQUENCE_TOKENS = 1024
 # The rules every url is held against.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
-# Rows of the labelled url table.
+# Rows of the labelled url table, half of them for either verdict.
 URL_SAMPLE = 2000
 # A conversation that holds the template's own control strings.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -81,7 +81,7 @@ def op1_chat_formatting(spark, sf_dir):
 @query("op3_packing")
 def op3_packing(spark, sf_dir):
     packed = packing.pack(
-        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), SEQUENCE_TOKENS
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE_TOKENS
     )
     return packed
 
@@ -129,10 +129,11 @@ def op5_license_scan(spark, sf_dir):
 @query("op6_url_filter")
 def op6_url_filter(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
-    # The labelled table: the first urls, by a hash, that a rule decides.
+    # The labelled table: of the different urls that a rule decides, the first of each verdict by a hash.
     name, verdict = url_filter.rule_columns(*url_filter.host_and_path(F.col("url")), URL_RULES)
-    decided = pages.where(name.isNotNull()).select("url", (verdict == "block").cast("int").alias("label"))
-    labelled = decided.orderBy(F.xxhash64("url"), "url").limit(URL_SAMPLE)
+    decided = pages.where(name.isNotNull()).select("url", (verdict == "block").cast("int").alias("label")).distinct()
+    first = lambda label: decided.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(URL_SAMPLE // 2)
+    labelled = first(0).unionByName(first(1))
     return url_filter.judge_urls(pages, url_filter.fit_url_model(labelled), URL_RULES)
 
 

@@ -79,3 +79,32 @@ def test_long_text(spark):
     text = "the house and the garden " * 100_000 + "das haus und der garten " * 50_000
     row = language.identify(spark.createDataFrame([(1, text, None)], SCHEMA), model, spans=True).first()
     assert row.lang_pred == "en" and [s.lang for s in row.spans] == ["en", "de"]
+
+
+def test_many_languages_and_parts(monkeypatch):
+    """300 labels, in parts of a few blocks, against all at once and against one path after another."""
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(0, 200, 30)
+    scores = rng.standard_normal((int(sizes.sum()), 300)) * 3
+    scores[:, 250] += 2.0
+    first = np.append(0, np.cumsum(sizes))
+    whole = language.viterbi(scores, first, penalty=4.0)
+    monkeypatch.setattr(language, "HELD_NUMBERS", 300 * 300 * 5)
+    assert (language.viterbi(scores, first, penalty=4.0) == whole).all()
+    assert whole.min() >= 0 and whole.max() > 200
+    for a, b in zip(first, first[1:]):
+        if a < b:
+            value = scores[a].copy()
+            for t in range(a + 1, b):
+                value = scores[t] + np.maximum(value, value.max() - 4.0)
+            assert scores[np.arange(a, b), whole[a:b]].sum() - 4.0 * (np.diff(whole[a:b]) != 0).sum() == pytest.approx(value.max())
+
+
+def test_more_than_127_languages_are_told_apart(spark):
+    rng = np.random.default_rng(2)
+    words = [["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(6)] for _ in range(200)]
+    rows = [(i, " ".join(rng.choice(words[i % 200], 20)), f"l{i % 200:03d}") for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = language.identify(df, language.fit_languages(df)).collect()
+    wanted = {i: name for i, _, name in rows}
+    assert sum(r.lang_pred == wanted[r.doc_id] for r in got) >= 0.97 * len(rows)

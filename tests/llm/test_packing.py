@@ -10,9 +10,9 @@ from tokenizers import Tokenizer
 from goldquarry.llm import packing, queries
 
 SCHEMA = "doc_id long, text string"
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-HARD = ["", " ", "  \n\n  x", "a" * 5000, "<|endoftext|>", "x<|endoftext|> y<|endoftext|>", "I'll we've 'S", "日本語 ́ 😀👍🏽", "\t1234567\r\n", "é" * 700, "<|endoftext"]
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = Tokenizer.from_file(VOCABULARY)
+HARD = ["", " ", "  \n\n  x", "a" * 5000, "<|endoftext|>", "x<|endoftext|> y<|endoftext|>", "I'll we've 'S", "日本語 ́ 😀👍🏽", "\t1234567\r\n", "é" * 700, "<|endoftext", "!\x1c!\x1f \x1d?", "\x85\x85 a"]
 
 
 def ids(text):
@@ -121,3 +121,16 @@ def test_cutting_long_texts_keeps_the_ids(monkeypatch, cut):
     for text in [*HARD, " ".join(HARD), "one  two\n\n three   " * 20]:
         if "<|endoftext" not in text:
             assert packing.token_ids(text, VOCABULARY).tolist() == ids(text).tolist()
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", " \n", "\u3000"])
+def test_long_white_space(blank):
+    """Three million blanks alone, and between and behind words."""
+    run = blank * (3_000_000 // len(blank))
+    for text in (run, f"a{run}b", f"one two {run}"):
+        assert np.array_equal(packing.token_ids(text, VOCABULARY), ids(text))
+
+
+def test_long_words():
+    for text in ("a" * 200_000, "!" * 200_000, "ab1" * 100_000, "é" * 100_000):
+        assert np.array_equal(packing.token_ids(text, VOCABULARY), ids(text))

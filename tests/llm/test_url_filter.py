@@ -91,3 +91,14 @@ def test_empty_table_and_long_url(spark):
     long = "http://a/" + "x" * 300_000
     row = url_filter.judge_urls(spark.createDataFrame([(1, long)], SCHEMA), model, RULES).select(F.length("path").alias("n"), "verdict").first()
     assert row.n == 300_001 and row.verdict in ("allow", "block")
+
+
+def test_a_repeated_url_does_not_fill_the_labelled_table(spark, sf_dir, tmp_path):
+    """One decided url in a third of all rows: the other urls are judged as without its copies."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    name, _ = url_filter.rule_columns(*url_filter.host_and_path(F.col("url")), RULES)
+    hot = pages.where(name.isNotNull()).orderBy("page_id").first().url
+    copies = spark.range(pages.count() // 2).select((F.col("id") + 10**9).alias("page_id"), F.lit(hot).alias("url"))
+    pages.unionByName(copies).write.parquet(f"{tmp_path}/pages.parquet")
+    before, after = judged(spark, sf_dir), judged(spark, str(tmp_path))
+    assert {k: r.verdict for k, r in after.items() if k < 10**9} == {k: r.verdict for k, r in before.items()}
