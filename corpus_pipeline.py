@@ -68,7 +68,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents with their places in sequences of 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), SEQUENCE_TOKENS)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE_TOKENS)
 
 
 STAGES = [
