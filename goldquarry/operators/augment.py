@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from goldquarry import fixed_values as fv
 from goldquarry.functions.labels import recode
 from goldquarry.functions.text import cache_key, content_b64
+from goldquarry.operators.batches import bisected
 from goldquarry.operators.joins import salted_join, small_side
 from goldquarry.operators.quality import first_n
 
@@ -93,13 +94,8 @@ def edit_outcomes(
 
 
 def _statuses(editor: Callable, batch: pd.DataFrame) -> list:
-    """Statuses of a batch; if the batch fails, its rows are tried one by one."""
-    try:
-        return list(editor(batch))
-    except Exception as failure:
-        if len(batch) == 1:
-            return [f"failed: {failure}"]
-        return [s for i in range(len(batch)) for s in _statuses(editor, batch.iloc[i : i + 1])]
+    """Statuses of a batch; failing rows are found by halving."""
+    return [status if error is None else f"failed: {error}" for status, error in bisected(editor, batch)]
 
 
 def variant_candidates(

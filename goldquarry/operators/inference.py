@@ -15,8 +15,9 @@ from goldquarry import fixed_values as fv
 from goldquarry.functions.geometry import visibility_bucket
 from goldquarry.functions.labels import coerce_enum, coerce_labels, curation_status, grade, retrieved
 from goldquarry.functions.text import curation_prompt, retrieval_prompt
+from goldquarry.operators.batches import bisected
 from goldquarry.operators.extract import extract_json
-from goldquarry.operators.joins import salted_join, small_side, unique_rows
+from goldquarry.operators.joins import small_side, unique_rows
 from goldquarry.operators.sampling import with_models
 
 ANSWER = (
@@ -26,14 +27,8 @@ ANSWER = (
 
 
 def _answers(responder: Callable, batch: pd.DataFrame) -> pd.DataFrame:
-    """Raw answers of a batch; if the batch fails, its rows are tried one by one."""
-    try:
-        return pd.DataFrame({"raw_text": list(responder(batch)), "error": None}, index=batch.index)
-    except Exception as failure:
-        if len(batch) == 1:
-            return pd.DataFrame({"raw_text": [None], "error": [str(failure)]}, index=batch.index)
-        rows = [_answers(responder, batch.iloc[i : i + 1]) for i in range(len(batch))]
-        return pd.concat(rows)
+    """Raw answers of a batch; failing rows are found by halving."""
+    return pd.DataFrame(bisected(responder, batch), columns=["raw_text", "error"], index=batch.index, dtype=object)
 
 
 def run_responder(
@@ -167,7 +162,8 @@ def annotate(
     answers = extract_json(new, "raw_text").select("request_key", "json", "parse_status")
     if cached is not None:
         answers = answers.unionByName(cached.select("request_key", "json", "parse_status"))
-    joined = salted_join(keyed, answers, "request_key").drop("request_key")
+    # A request key repeats only where an item does, so no key is hot.
+    joined = keyed.join(answers, "request_key", "left").drop("request_key")
     annotated = normalise_annotation(joined, annotator, model, schema_version)
     return annotated.drop("json").withColumnRenamed("parse_status", "annotation_status"), new
 

@@ -9,6 +9,12 @@ from goldquarry import fixed_values as fv
 from goldquarry.functions.predicates import holds, not_excluded, text_label, within
 
 
+# Approximate quantiles are taken this far from a wanted one, on either side.
+MARGIN = 0.002
+# Rows that one task orders to find a quantile, at most.
+SLICE_ROWS = 20_000
+
+
 def quality_predicate(columns, ranges=None, exclude=None) -> Column:
     """Conjunction of null-passing range and exclusion tests on the columns that are present."""
     ranges = fv.QUALITY_RANGES if ranges is None else ranges
@@ -114,24 +120,67 @@ def _marks(probabilities, margin: float) -> list[float]:
     return sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
 
 
-def _slices(numbers: DataFrame, summary: dict) -> dict[str, list]:
-    """Per column the cuts and the open intervals between them, as (low, high, rows before, rows upto).
+def _sliced(cuts: list, low, high, counts, before: int, upto: int) -> list[tuple]:
+    """Slices (low, high, rows before, rows upto) of an open interval cut at values inside it.
 
     A cut itself is a slice with low == high, so a value that many rows share is no part of any
-    interval.
+    interval. `counts` gives, cut by cut, the rows below it and up to it.
+    """
+    slices, start, below = [], low, before
+    for cut in cuts:
+        less, most = next(counts), next(counts)
+        slices += [(start, cut, below, less), (cut, cut, less, most)]
+        start, below = cut, most
+    return [*slices, (start, high, below, upto)]
+
+
+def _cuts_inside(numbers: DataFrame, open_slices: list, margin: float) -> list[list]:
+    """Approximate quantiles around the ranks of each slice (column, low, high, before, upto, ranks), by one aggregate."""
+    cuts = []
+    for i, (c, low, high, before, upto, ranks) in enumerate(open_slices):
+        size = max(upto - before - 1, 1)
+        at = F.array(*map(F.lit, _marks([(r - before) / size for r in ranks], margin)))
+        cuts.append(F.percentile_approx(F.when(_inside(F.col(c), low, high), F.col(c)), at, F.lit(1000)).alias(f"c{i}"))
+    return list(numbers.agg(*cuts).first())
+
+
+def _counted(numbers: DataFrame, open_slices: list, cuts: list[list]) -> list[list]:
+    """The parts of each open slice, cut at values inside it; one aggregate counts the rows up to all cuts."""
+    cuts = [sorted(set(values)) for values in cuts]
+    ends = [
+        F.count_if(_inside(F.col(c), low, high) & test)
+        for (c, low, high, *_), at in zip(open_slices, cuts)
+        for x in at
+        for test in (F.col(c) < x, F.col(c) <= x)
+    ]
+    counted = iter(numbers.agg(*[n.alias(f"n{i}") for i, n in enumerate(ends)]).first())
+    parts = []
+    for (_, low, high, before, upto, _), at in zip(open_slices, cuts):
+        parts.append(_sliced(at, low, high, (before + next(counted) for _ in range(2 * len(at))), before, upto))
+    return parts
+
+
+def _narrowed(numbers: DataFrame, summary: dict, ranks: dict[str, set], margin: float) -> dict[str, list]:
+    """Per column the slices that hold its wanted ranks: single values, or intervals of at most SLICE_ROWS rows.
+
+    Distributed selection in rounds: a slice with more rows is cut again by its own quantiles. Every round
+    leaves a few permille of a slice and takes its cuts out of it, so three or four rounds do for any table.
     """
-    cuts = {c: sorted(set(s["cuts"])) for c, s in summary.items()}
-    ends = [F.count_if(test) for c, at in cuts.items() for x in at for test in (F.col(c) < x, F.col(c) <= x)]
-    counts = iter(numbers.agg(*[n.alias(f"n{i}") for i, n in enumerate(ends)]).first())
-    slices = {}
-    for c, at in cuts.items():
-        slices[c], low, before = [], None, 0
-        for cut in at:
-            below, upto = next(counts), next(counts)
-            slices[c] += [(low, cut, before, below), (cut, cut, below, upto)]
-            low, before = cut, upto
-        slices[c].append((low, None, before, summary[c]["count"]))
-    return slices
+    done = {c: [] for c in ranks}
+    todo = [(c, None, None, 0, summary[c]["count"], ranks[c]) for c in ranks]
+    cuts = [summary[c]["cuts"] for c in ranks]
+    while todo:
+        again = []
+        for (c, *_, wanted), parts in zip(todo, _counted(numbers, todo, cuts)):
+            for low, high, before, upto in parts:
+                held = {r for r in wanted if before <= r < upto}
+                if held and upto - before > SLICE_ROWS and not (low is not None and low == high):
+                    again.append((c, low, high, before, upto, held))
+                elif held:
+                    done[c].append((low, high, before, upto))
+        todo = again
+        cuts = _cuts_inside(numbers, todo, MARGIN) if todo else []
+    return done
 
 
 def _inside(col: Column, low, high) -> Column:
@@ -139,32 +188,36 @@ def _inside(col: Column, low, high) -> Column:
     return test if high is None else test & (col < high)
 
 
-def quantiles(df: DataFrame, columns, probabilities, margin: float = 0.002) -> DataFrame:
+def quantiles(df: DataFrame, columns, probabilities, margin: float = MARGIN) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (stat, q, value).
 
     Stays exact and distributed on columns of any size. Approximate quantiles a little below
     and above every wanted one cut the values into slices, and one aggregate counts the rows up
     to each cut (both give a few numbers, which are read at once). The counts tell which slices
-    hold the wanted ranks; only those, a few permille of the rows, are shuffled and ordered.
-    The cuts affect the balance, never the result.
+    hold the wanted ranks. A slice of more than SLICE_ROWS rows is cut again in the same way, until
+    what is shuffled and ordered is a bounded number of rows, whatever the table's size. The cuts
+    affect the work, never the result.
     """
     numbers = _numbers(df, _as_columns(columns))
-    return _quantiles(numbers, _summary(numbers, _marks(probabilities, margin)), probabilities)
+    return _quantiles(numbers, _summary(numbers, _marks(probabilities, margin)), probabilities, margin)
 
 
-def _quantiles(numbers: DataFrame, summary: dict, probabilities) -> DataFrame:
+def _quantiles(numbers: DataFrame, summary: dict, probabilities, margin: float = MARGIN) -> DataFrame:
     spark = numbers.sparkSession
     if not summary:
         return spark.createDataFrame([], "stat string, q double, value double")
     # At most two ranks per column and quantile: found at a cut, or still to be looked up.
     found, wanted, places = [], [], {}
-    for c, slices in _slices(numbers, summary).items():
-        positions = [(p, p * (summary[c]["count"] - 1)) for p in map(float, probabilities)]
+    at = {c: [(p, p * (s["count"] - 1)) for p in map(float, probabilities)] for c, s in summary.items()}
+    whole = lambda pos: {floor(pos), ceil(pos)}
+    ranks_of = {c: set().union(*(whole(pos) for _, pos in positions)) for c, positions in at.items()}
+    for c, slices in _narrowed(numbers, summary, ranks_of, margin).items():
+        positions = at[c]
         for k, (low, high, before, upto) in enumerate(slices):
             ranks = [
                 (c, k, p, pos - floor(pos), r - before)
                 for p, pos in positions
-                for r in {floor(pos), ceil(pos)}
+                for r in whole(pos)
                 if before <= r < upto
             ]
             if ranks and low is not None and low == high:
@@ -211,7 +264,7 @@ def describe(df: DataFrame, columns, digits: int = 3) -> DataFrame:
     """
     quartiles = [0.25, 0.5, 0.75]
     numbers = _numbers(df, _as_columns(columns))
-    summary = _summary(numbers, _marks(quartiles, 0.002))
+    summary = _summary(numbers, _marks(quartiles, MARGIN))
     # One row per column.
     empty = dict.fromkeys(("mean", "std", "min", "max")) | {"count": 0}
     basics = numbers.sparkSession.createDataFrame(

@@ -3,7 +3,7 @@
 Random order is a hash of (seed, id), so a sample depends on neither partitioning nor row order.
 The leading digits of the hash cut the table into slices of equal expected size. Counts per
 slice, which a plain aggregate delivers, tell which slices a sample reaches; all other rows are
-dropped before anything is sorted or shuffled, and ranks are only taken within a slice, so no
+dropped before anything is sorted or shuffled. Slices that are taken whole are not ranked, and no
 task ever holds a whole class.
 """
 
@@ -14,18 +14,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from goldquarry import fixed_values as fv
 from goldquarry.functions.predicates import equals_all, holds
 from goldquarry.functions.text import sample_key
+from goldquarry.operators.bottom import bottom_n
 from goldquarry.operators.joins import small_side
 
-# Hex digits of the sample key that name a slice.
+# Hex digits of the sample key that name a slice: of a query set, and of a balanced sample.
 SLICE_DIGITS = 3
-# Sub-groups over which the rows of slices that are taken whole are spread.
-SPREAD = 64
+FINE_DIGITS = 4
 
 
-def _with_key(df: DataFrame, key: str, seed: int) -> DataFrame:
-    return df.withColumn("_key", sample_key(seed, F.col(key))).withColumn(
-        "_slice", F.substring("_key", 1, SLICE_DIGITS)
-    )
+def _with_key(df: DataFrame, key: str, seed: int, digits: int = SLICE_DIGITS) -> DataFrame:
+    return df.withColumn("_key", sample_key(seed, F.col(key))).withColumn("_slice", F.substring("_key", 1, digits))
 
 
 def _reached(counts: DataFrame, groups: list[str], order: list, quota: Column) -> DataFrame:
@@ -57,7 +55,7 @@ def balanced_sample(
         return df
     cls = F.col(class_col)
     name = F.when(cls, "pos").when(~cls, "neg").otherwise("unknown")
-    rows = _with_key(df, key, seed).withColumn("_class", name)
+    rows = _with_key(df, key, seed, FINE_DIGITS).withColumn("_class", name)
     counts = rows.groupBy("_class", "_slice").agg(F.count(F.lit(1)).alias("n"))
     size = lambda c: F.coalesce(F.sum(F.when(F.col("_class") == c, F.col("n"))), F.lit(0))
     sizes = counts.agg(size("pos").alias("pos"), size("neg").alias("neg"), size("unknown").alias("unknown"))
@@ -72,25 +70,17 @@ def balanced_sample(
             F.lit("pos"), share(pos), F.lit("neg"), share(neg), F.lit("unknown"), share(F.lit(0))
         )
     ).scalar()
-    cut = _reached(counts, ["_class"], ["_slice"], F.element_at(quotas, F.col("_class")))
-    # At most three classes of 16 ** SLICE_DIGITS slices.
-    taken = rows.join(F.broadcast(cut), ["_class", "_slice"])
-    # The last slice a class reaches is taken in part: it is counted once more by further digits.
-    part = F.when(F.col("n") > F.col("left"), F.substring("_key", SLICE_DIGITS + 1, SLICE_DIGITS))
-    parts = taken.withColumn("_part", part)
-    inner = parts.where(part.isNotNull()).groupBy("_class", "_part").agg(
-        F.count(F.lit(1)).alias("n"), F.first("left").alias("quota")
-    )
-    inner = _reached(inner, ["_class"], ["_part"], F.col("quota")).select(
-        "_class", "_part", F.col("n").alias("_n"), F.col("left").alias("_left")
-    )
-    placed = parts.join(F.broadcast(inner), ["_class", "_part"], "left").where(part.isNull() | F.col("_left").isNotNull())
-    # Parts that are taken whole need no common ranking, so their rows are spread.
-    whole = F.coalesce(F.col("_n") <= F.col("_left"), F.lit(True))
-    spread = F.when(whole, F.pmod(F.hash("_key"), F.lit(SPREAD))).otherwise(-1)
-    in_part = Window.partitionBy("_class", "_slice", "_part", spread).orderBy("_key", key)
-    ranked = placed.withColumn("_rank", F.row_number().over(in_part))
-    return ranked.where(whole | (F.col("_rank") <= F.col("_left"))).select(*df.columns)
+    reached = _reached(counts, ["_class"], ["_slice"], F.element_at(quotas, F.col("_class")))
+    # One row per class: the last slice it reaches and the rows to take from that; slices before it are taken whole.
+    last = reached.groupBy("_class").agg(F.max(F.struct("_slice", "left", "n")).alias("_last"))
+    taken = rows.join(F.broadcast(last), "_class")
+    slice_, whole = F.col("_slice"), F.col("_last.n") <= F.col("_last.left")
+    all_of_it = taken.where((slice_ < F.col("_last._slice")) | ((slice_ == F.col("_last._slice")) & whole))
+    # The rest comes from one slice per class, a 65536th of its rows.
+    in_slice = Window.partitionBy("_class").orderBy("_key", key)
+    part = taken.where((slice_ == F.col("_last._slice")) & ~whole).withColumn("_rank", F.row_number().over(in_slice))
+    part = part.where(F.col("_rank") <= F.col("_last.left"))
+    return all_of_it.select(*df.columns).unionByName(part.select(*df.columns))
 
 
 def usable_templates(df: DataFrame, templates=None) -> list:
@@ -165,8 +155,8 @@ def build_query_set(
 
     Each chosen template gets `n_samples` positives and as many negatives: the first ones in
     hash order from the query's start on. One aggregate counts all templates by slice; a second
-    pass picks up the few rows in reached slices. The result has at most `query_set_bound(...)`
-    rows.
+    pass keeps the first ones of the reached slices in every task and merges them (`bottom_n`), so
+    no slice is ranked. The result has at most `query_set_bound(...)` rows.
     """
     templates = usable_templates(df, templates)
     if not templates or n_queries == 0 or n_samples == 0:
@@ -196,29 +186,27 @@ def build_query_set(
     reached = (
         _reached(by_class, ["position", "is_positive"], order, F.lit(n_samples))
         .groupBy("_slice")
-        .agg(F.collect_list(F.struct("position", "is_positive", "left")).alias("takes"))
+        .agg(F.collect_list(F.struct("position", "is_positive")).alias("takes"))
     )
     most = 16**SLICE_DIGITS * query_set_bound(min(n_queries, len(templates)), 1)
     fits = F.filter(
         "takes", lambda t: F.get(F.array(*flags), t["position"]) == t["is_positive"]
     )
+    starts = F.array(*[F.lit(_start(seed, t[0])) for t in templates])
     members = (
         rows.join(small_side(reached, most), "_slice")
         .select("_slice", "_key", "image_id", F.explode(fits).alias("t"))
-        .select("_slice", "_key", "image_id", "t.*")
+        .select(
+            "t.position",
+            "t.is_positive",
+            # Keys from the query's start on come before those that lie before it.
+            F.concat(F.when(F.col("_slice") < F.get(starts, F.col("t.position")), "1").otherwise("0"), "_key").alias("_at"),
+            "image_id",
+        )
     )
-    # Copies of an id collapse, so a slice stays small whatever an id's share of the rows is.
-    group = ["position", "is_positive", "left", "_slice"]
-    copies = members.groupBy(*group, "_key", "image_id").agg(F.count(F.lit(1)).alias("n"))
-    in_slice = Window.partitionBy(*group).orderBy("_key", "image_id")
-    take = F.least(F.col("n"), F.col("left") - (F.sum("n").over(in_slice) - F.col("n")))
+    picked = bottom_n(members, ["position", "is_positive"], ["_at", "image_id"], n_samples)
     named = lambda part: F.get(F.array(*[F.lit(t[part]) for t in templates]), F.col("position"))
-    return (
-        copies.withColumn("take", take)
-        .where(F.col("take") > 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("take").cast("int"))))
-        .select(named(0).alias("query_id"), named(1).alias("query_text"), "image_id", "is_positive")
-    )
+    return picked.select(named(0).alias("query_id"), named(1).alias("query_text"), "image_id", "is_positive")
 
 
 def query_set_bound(n_queries: int = fv.QUERY_COUNT, n_samples: int = fv.QUERY_SAMPLES) -> int:

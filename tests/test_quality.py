@@ -113,3 +113,27 @@ def test_statistics_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert [tuple(r) for r in quality.describe(df, ["v"]).collect()] == [("v", 0, *[None] * 7)]
     assert quality.histogram(df, ["v"]).collect() == []
+
+
+def test_quantiles_of_many_distinct_values_take_rounds(spark, monkeypatch):
+    """20 million different doubles, a third of them in a narrow band, ordered a few thousand at a time."""
+    monkeypatch.setattr(quality, "SLICE_ROWS", 3000)
+    n = 20_000_000
+    mixed = F.pmod(F.col("id") * 7_919_993 + 17, F.lit(n)).cast("double")
+    df = spark.range(n, numPartitions=8).select(F.when(mixed % 3 == 0, mixed * 1e-9).otherwise(mixed).alias("v"))
+    values = np.arange(n, dtype=float)
+    values = np.where(values % 3 == 0, values * 1e-9, values)
+    seen = []
+    ordered = quality._values_at
+
+    def counted(numbers, places, wanted):
+        near = [p.isNotNull() for p in places.values()]
+        seen.append(numbers.where(near[0]).count())
+        return ordered(numbers, places, wanted)
+
+    monkeypatch.setattr(quality, "_values_at", counted)
+    probabilities = [0.0, 0.25, 1 / 3, 0.5, 0.87654321, 1.0]
+    got = {r.q: r.value for r in quality.quantiles(df, ["v"], probabilities).collect()}
+    for p in probabilities:
+        assert got[p] == pytest.approx(np.quantile(values, p), rel=1e-14)
+    assert seen and seen[0] <= 3000 * 2 * len(probabilities)
