@@ -1,12 +1,14 @@
 """Annotation sidecars (XML) as box tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from goldquarry import fixed_values as fv
 from goldquarry.functions.geometry import box
 from goldquarry.functions.text import file_stem
 from goldquarry.schema import ANNOTATION_XML, BOXES
 from goldquarry.sources.images import below, decoded_path
+from goldquarry.sources.tag_scan import scan_annotations
 
 
 def boxes_of(objects: Column) -> Column:
@@ -38,14 +40,26 @@ def annotation_columns(size, objects, corrupt) -> dict:
     }
 
 
+SCANNED = T.StructType().add("plain", "boolean").add("width", "integer").add("height", "integer").add("bbox", BOXES)
+
+
+@F.arrow_udf(SCANNED)
+def _scan(texts: pa.Array) -> pa.Array:
+    return scan_annotations(texts)
+
+
 def parse_annotations(df: DataFrame, xml_col: str) -> DataFrame:
-    """Add width, height, bbox and xml_error parsed from an XML string column. A null string has no error."""
-    parsed = F.from_xml(F.col(xml_col), ANNOTATION_XML, {"rowTag": "annotation"})
-    return (
-        df.withColumn("_xml", parsed)
-        .withColumns(annotation_columns(F.col("_xml.size"), F.col("_xml.object"), F.col("_xml._corrupt_record")))
-        .drop("_xml")
-    )
+    """Add width, height, bbox and xml_error parsed from an XML string column. A null string has no error.
+
+    Plain annotations are scanned (see `tag_scan`); all others go through the XML parser.
+    """
+    scanned = df.withColumn("_scan", _scan(F.col(xml_col)))
+    rest = F.when(~F.col("_scan.plain"), F.col(xml_col))
+    parsed = scanned.withColumn("_xml", F.from_xml(rest, ANNOTATION_XML, {"rowTag": "annotation"}))
+    values = annotation_columns(F.col("_xml.size"), F.col("_xml.object"), F.col("_xml._corrupt_record"))
+    pick = lambda name, c: F.when(F.col("_scan.plain"), F.col(f"_scan.{name}")).otherwise(c)
+    both = {name: c if name == "xml_error" else pick(name, c) for name, c in values.items()}
+    return parsed.withColumns(both).drop("_xml", "_scan")
 
 
 def read_annotations(spark: SparkSession, path: str, row_tag: str = "annotation") -> DataFrame:

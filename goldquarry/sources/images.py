@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from goldquarry import fixed_values as fv
 from goldquarry.functions.text import content_b64, file_stem, file_suffix
+from goldquarry.sources.headers import HEAD_BYTES, header_size, whole_size
 from goldquarry.sources.paths import plain_path
 
 
@@ -82,11 +83,16 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
 
 
 def image_dims(spark: SparkSession, path: str) -> DataFrame:
-    """(image_path, width, height, readable); unreadable files get a size of 0."""
-    size = lambda n: F.greatest(F.col(f"image.{n}"), F.lit(0))
-    return read_images(spark, path).select(
-        "image_path",
-        size("width").alias("width"),
-        size("height").alias("height"),
-        (F.col("image.height") > 0).alias("readable"),
+    """(image_path, width, height, readable); unreadable files get a size of 0.
+
+    Sizes come from the file headers, no pixel is decoded. Files that are no JPEG or PNG, that are cut
+    off, or whose header holds no size are unreadable.
+    """
+    files = read_contents(spark, path).withColumn("_first", header_size(F.col("content")))
+    # The few files whose header is longer than the bytes looked at first; others reach this as nulls.
+    longer = F.when(F.col("_first.cut") & (F.length("content") > HEAD_BYTES), F.col("content"))
+    sized = files.withColumn("_again", whole_size(longer))
+    size = lambda n: F.greatest(F.col(f"_first.{n}"), F.col(f"_again.{n}"))
+    return sized.select(
+        "image_path", size("width").alias("width"), size("height").alias("height"), (size("width") > 0).alias("readable")
     )
