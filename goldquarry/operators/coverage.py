@@ -184,6 +184,27 @@ def crosstab(df: DataFrame, left: str, right: str, margins: bool = True, null_la
     return table.select("left_value", "right_value", "count")
 
 
+def crosstab_tables(crosstabs: DataFrame) -> dict[str, DataFrame]:
+    """Each cross-tab of a long form as a table: a column of row labels, one per value of the right side, and "All".
+
+    The values are read from the long form, whose cells are combinations of controlled values, so its rows are few.
+    Rows are sorted by label, the margin last.
+    """
+    listed = crosstabs.where("NOT right_margin").select("tab", "right_value").distinct()
+    values: dict[str, list] = {r["tab"]: [] for r in crosstabs.select("tab").distinct().collect()}
+    for row in listed.collect():
+        values[row["tab"]].append(row["right_value"])
+    tables = {}
+    for tab, right in sorted(values.items()):
+        cell = lambda v: F.sum(F.when(~F.col("right_margin") & (F.col("right_value") == v), F.col("count")))
+        columns = [F.coalesce(cell(v), F.lit(0)).alias(v) for v in sorted(right)]
+        total = F.sum(F.when(F.col("right_margin"), F.col("count"))).alias(ALL)
+        label = F.when(F.col("left_margin"), ALL).otherwise(F.col("left_value")).alias(tab.split("_x_")[0])
+        cells = crosstabs.where(F.col("tab") == tab).groupBy("left_margin", "left_value").agg(*columns, total)
+        tables[tab] = cells.orderBy("left_margin", "left_value").select(label, *[F.col(f"`{v}`") for v in sorted(right)], ALL)
+    return tables
+
+
 def crosstab_wide(df: DataFrame, left: str, right: str, right_values, null_label: str = "None") -> DataFrame:
     """One cross-tab with a column per value of the right side and an "All" row and column.
 

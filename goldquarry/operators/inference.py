@@ -5,6 +5,7 @@ a batch of requests (see the columns each job documents) and returns one raw ans
 None for a failed call. Retries and rate limits belong inside the responder.
 """
 
+import json
 from collections.abc import Callable
 
 import pandas as pd
@@ -55,6 +56,24 @@ def run_responder(
     return requests.mapInPandas(run, schema)
 
 
+def response_schema() -> str:
+    """JSON schema of an annotation answer: every field, closed to its vocabulary.
+
+    Values that stand for a missing answer are not offered.
+    """
+    fields = {}
+    for name, description in fv.RESPONSE_DESCRIPTIONS.items():
+        if name in fv.ENUM_DEFAULTS:
+            values = [v for v in fv.ENUM_DEFAULTS[name][0] if v != "unknown"]
+            fields[name] = {"type": "string", "enum": values}
+        elif name == "possible_confusers":
+            fields[name] = {"type": "array", "items": {"type": "string", "enum": list(fv.CONFUSERS)}}
+        else:
+            fields[name] = {"type": "string"}
+        fields[name]["description"] = description
+    return json.dumps({"type": "object", "properties": fields, "required": list(fields), "additionalProperties": False})
+
+
 def request_key(image_id: Column, model: str, prompt: Column, schema_version: str) -> Column:
     """Key of an annotation request; a new model, prompt or schema version asks again."""
     parts = F.concat_ws("|", image_id, F.lit(model), prompt, F.lit(schema_version))
@@ -128,8 +147,8 @@ def annotate(
     """(annotated items, new responses).
 
     Items whose request is answered in `responses` are not asked again unless `refresh`. The
-    responder sees model, image_id, image_path, prompt, request_key, schema_version and, with
-    `images` (image_path, content), the file content; over many items it is better to leave
+    responder sees model, image_id, image_path, prompt, request_key, schema_version, response_schema
+    (the JSON schema an answer is to follow) and, with `images` (image_path, content), the file content; over many items it is better to leave
     `images` out and let the responder open the path, as the content then need not be shuffled. Pass a `store` that writes the new
     responses and returns the written table (see `sources.stages`) when calls must not repeat.
     """
@@ -146,6 +165,7 @@ def annotate(
         prompt.alias("prompt"),
         F.lit(model).alias("model"),
         F.lit(schema_version).alias("schema_version"),
+        F.lit(response_schema()).alias("response_schema"),
     ).dropDuplicates(["request_key"])
     cached = None
     if responses is not None and not refresh:

@@ -7,6 +7,8 @@ share of the rows are salted (`salted_join`).
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from goldquarry.operators.membership import possible_matches
+
 # Rows up to which a side with a proven bound may be broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -118,12 +120,20 @@ def split_cached(
 
 
 def with_file_exists(df: DataFrame, listing: DataFrame, path_col: str = "image_path") -> DataFrame:
-    """Flag rows whose file is in a listing, by one join instead of one file call per row."""
-    known = listing.select(F.col(path_col)).distinct().withColumn("_listed", F.lit(True))
+    """Flag rows whose file is in a listing, by one join instead of one file call per row.
+
+    Files of the listing that no row can mean are left out before anything moves, and rows without a path are
+    spread over all tasks.
+    """
+    known = possible_matches(listing.select(path_col), df, path_col).distinct()
+    known = known.select(F.col(path_col).alias("_path"), F.lit(True).alias("_listed"))
+    # A null path stands for no file, so its rows may go anywhere: no path begins with a zero character.
+    scalars = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("binary", "array", "struct", "map", "variant")]
+    anywhere = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*scalars, F.monotonically_increasing_id()), F.lit(64 * SALTS)))
     return (
-        df.join(known, path_col, "left")
+        df.withColumn("_path", F.coalesce(F.col(path_col), anywhere))
+        .join(known, "_path", "left")
         .withColumn("file_exists", F.coalesce("_listed", F.lit(False)))
-        .drop("_listed")
         .select(*df.columns, "file_exists")
     )
 
@@ -152,7 +162,9 @@ def resolve_path(
         found = first if found is None else found.unionByName(first)
     found = found.where(F.col(path_col) != "")
     if files is not None:
-        found = found.join(files.select(path_col).distinct(), path_col, "left_semi")
+        # Files that no candidate can mean don't move.
+        listed = possible_matches(files.select(path_col), found, path_col)
+        found = found.join(listed.distinct(), path_col, "left_semi")
     best = found.groupBy(key).agg(F.min_by(path_col, "_priority").alias(path_col))
     return wanted.join(best, key, "left")
 

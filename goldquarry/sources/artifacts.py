@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from goldquarry import fixed_values as fv
+from goldquarry.operators.coverage import crosstab_tables
 from goldquarry.schema import ARTIFACT_SCHEMAS
 from goldquarry.sources.paths import child_names, path_exists
 
@@ -37,11 +38,17 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, bool_cols=B
 
 
 def export_coverage(coverage: DataFrame, gaps: DataFrame, crosstabs: DataFrame, path: str) -> None:
-    """CSV files: one folder per dimension, one for the gaps, one per cross-tab with its labels."""
+    """CSV files: one folder per dimension, one for the gaps, and the cross-tabs twice.
+
+    `coverage_crosstab` holds all cells in long form, `coverage_crosstab_<tab>` each cross-tab as a table with a row label
+    column and an "All" row and column.
+    """
     write = lambda df: df.write.mode("overwrite").option("header", "true")
     write(coverage.repartition("dimension")).partitionBy("dimension").csv(f"{path}/coverage")
     write(gaps.coalesce(1)).csv(f"{path}/coverage_gaps")
     write(crosstabs.repartition("tab")).partitionBy("tab").csv(f"{path}/coverage_crosstab")
+    for tab, table in crosstab_tables(crosstabs).items():
+        write(table.coalesce(1)).csv(f"{path}/coverage_crosstab_{tab}")
 
 
 def write_run(results: DataFrame, summary: DataFrame, path: str, run_label: str | None = None) -> None:

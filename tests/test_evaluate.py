@@ -4,7 +4,9 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from goldquarry import fixed_values as fv
 from goldquarry.operators import evaluate, inference, sampling
+from goldquarry.schema import BOXES
 
 RESULT = "model string, query_id string, query_text string, image_id string, is_positive boolean, retrieved boolean"
 
@@ -154,3 +156,23 @@ def test_content_reaches_the_responder_once_per_frame(spark):
     )
     assert rows(out, "query_id", "image_id", "raw_response", "score") == [("q1", "a", "A probably yes", 4), ("q2", "a", "A probably yes", 4)]
     assert "content" not in out.columns
+
+
+def test_requests_carry_the_response_schema(spark):
+    import json
+
+    schema = json.loads(inference.response_schema())
+    assert set(schema["properties"]) == set(schema["required"]) == {*fv.ENUM_DEFAULTS, "possible_confusers", "caption"}
+    assert "unknown" not in schema["properties"]["camera_angle"]["enum"]
+    assert schema["properties"]["possible_confusers"]["items"]["enum"] == fv.CONFUSERS
+    wanted = inference.response_schema()
+
+    def responder(batch):
+        assert set(batch["response_schema"]) <= {wanted}
+        return ['{"background": "sky"}'] * len(batch)
+
+    items = spark.createDataFrame(
+        [("a", "/a.jpg", True, 1, 10, 10)], "image_id string, image_path string, drone_present boolean, box_count int, width int, height int"
+    ).withColumn("bbox", F.array().cast(BOXES))
+    done, new = inference.annotate(items, responder, "m")
+    assert done.first().background == "sky" and new.first().error is None

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from goldquarry.operators import joins
+from goldquarry.operators.membership import key_bitmaps, possible_matches
 
 
 def skewed(spark, n=3000):
@@ -95,3 +96,37 @@ def test_small_side_only_hints_within_the_bound(spark):
     assert hinted(joins.small_side(df, 10))
     assert not hinted(joins.small_side(df, None))
     assert not hinted(joins.small_side(df, joins.BROADCAST_ROWS + 1))
+
+
+def test_file_exists_spreads_null_paths_and_leaves_listings_in_place(spark):
+    df = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("/f/"), F.col("id") % 500)).alias("image_path")
+    )
+    listing = spark.range(100_000).select(F.concat(F.lit("/f/"), F.col("id") * 2).alias("image_path"))
+    got = joins.with_file_exists(df, listing)
+    assert got.columns == ["id", "image_path", "file_exists"]
+    want = {(r.id, r.image_path, r.image_path is not None and int(r.image_path[3:]) % 2 == 0) for r in df.collect()}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == 30_000
+    moved = possible_matches(listing, df, "image_path")
+    assert 200 <= moved.count() <= 1000  # 250 paths are in both
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        placed = joins.with_file_exists(df, listing).withColumn("part", F.spark_partition_id())
+        parts = placed.where("image_path IS NULL AND NOT file_exists").groupBy("part").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(parts) >= 6 and max(r["count"] for r in parts) < 3500
+
+
+def test_possible_matches_misses_none(spark):
+    small = spark.range(50_000).select(F.concat(F.lit("k"), F.col("id") * 7).alias("k")).union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    large = spark.range(400_000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+    kept = possible_matches(large, small, "k")
+    assert kept.columns == ["k", "id"]
+    assert kept.where("id % 7 = 0 AND id < 350000").count() == 50_000 and kept.count() < 60_000
+    assert possible_matches(large, small.where("false"), "k").count() == 0
+    assert key_bitmaps(small, "k").count() <= 1024

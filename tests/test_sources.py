@@ -185,3 +185,18 @@ def test_broken_files_are_reported_and_give_no_items(spark, tmp_path):
         ("cut.xml", "unreadable annotation", "s"), ("empty.xml", "unreadable annotation", "s"),
         ("junk.png", "unreadable image", "s"), ("word.xml", "unreadable annotation", "s"),
     ]
+
+
+def test_crosstab_files_are_tables(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(True, "large", "sky"), (True, None, "sky"), (False, None, "trees.x")],
+        "drone_present boolean, drone_visibility string, background string",
+    )
+    tabs = coverage.crosstabs(df, [("drone_present", "background", False), ("drone_present", "drone_visibility", True)])
+    table = coverage.coverage(df, min_count=2)
+    artifacts.export_coverage(table, coverage.gaps(table, 2), tabs, str(tmp_path))
+    read = lambda tab: spark.read.option("header", True).csv(f"{tmp_path}/coverage_crosstab_{tab}")
+    wide = read("drone_present_x_background")
+    assert wide.columns == ["drone_present", "sky", "trees.x", "All"]
+    assert [tuple(r) for r in wide.collect()] == [("no", "0", "1", "1"), ("yes", "2", "0", "2"), ("All", "2", "1", "3")]
+    assert [tuple(r) for r in read("drone_present_x_drone_visibility").collect()] == [("yes", "1", "1"), ("All", "1", "1")]
