@@ -30,8 +30,6 @@ MISSED = 0.005
 BLOCK_ROWS = 1024
 # Vectors are compared in blocks if they are no more than so many for each comparison of their passes.
 BLOCKS_FOR = 8
-# A vector with links to this share of its neighbours in order is in the midst of its component.
-AMID = 0.5
 CENTRES = 1000
 SEED = 20240611
 
@@ -159,14 +157,10 @@ def _neighbours(cosine: float, window: int):
     def compared(before, group, after):
         unit, rep, keys = _matrix(group.column("vector")), group.column("rep").to_numpy(), group.column("key").to_numpy()
         n = len(unit)
-        found, linked, seen = [], np.zeros(n, np.int64), np.zeros(n, np.int64)
+        found = []
         for k in range(1, min(window, n - 1) + 1):
             near = np.flatnonzero(np.einsum("ij,ij->i", unit[:-k], unit[k:]) >= cosine)
             found.append(np.stack([near, near + k], 1))
-            linked[near] += 1
-            linked[near + k] += 1
-            seen[:-k] += 1
-            seen[k:] += 1
         pairs = _forest(np.concatenate(found), n) if found else np.empty((0, 2), np.int64)
         # Signs that part a row from those beyond its window on either side; beyond a task's rows nothing is known.
         first, last = before is None or key(before) != key(group), after is None or key(after) != key(group)
@@ -176,7 +170,6 @@ def _neighbours(cosine: float, window: int):
             np.maximum.at(signs, np.arange(n - window), shared)
             np.maximum.at(signs, np.arange(window, n), shared)
         chance = group.column("agree").to_numpy() ** signs
-        chance[linked >= AMID * np.maximum(seen, window)] = 1
         if before is None and TaskContext.get().partitionId():
             chance[:window] = 0
         if after is None:

@@ -87,3 +87,30 @@ def test_recall_within_a_cone(spark, monkeypatch, mutual, blocks_for):
     assert links >= 800
     assert sum(n for n, _ in got.values()) >= 0.99 * links
     assert sum(got[k] == want[k] for k in want) >= 0.99 * len(want)
+
+
+def bridged(rng, groups, size, dim=64, between=0.915, noise=0.14):
+    """Pairs of dense groups whose centres are below the threshold, so that few links cross between them."""
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    out = []
+    for _ in range(groups):
+        one = unit(rng.standard_normal(dim))
+        off = rng.standard_normal(dim)
+        off = unit(off - (off @ one) * one)
+        for centre in (one, between * one + (1 - between**2) ** 0.5 * off):
+            out.append(unit(centre + noise * rng.standard_normal((size, dim)) / dim**0.5))
+    return np.concatenate(out)
+
+
+@pytest.mark.parametrize("parts", [1, 64])
+def test_bridges_between_dense_groups(spark, parts):
+    """Every link that crosses between two dense groups counts, and joins them, from any partitioning."""
+    rng = np.random.default_rng(8)
+    vectors = bridged(rng, 6, 250)
+    rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(vectors)]
+    want = brute.near_vectors(rows)
+    v = np.array([r[1] for r in rows])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    cross = sum(int((v[500 * g : 500 * g + 250] @ v[500 * g + 250 : 500 * g + 500].T >= 0.93).sum()) for g in range(6))
+    assert 0 < cross < 2000
+    assert result(embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(parts))) == want
