@@ -15,8 +15,9 @@ their own, so that the first ": " ends them. A conversation that would still dif
 from pyspark.sql import Column, DataFrame, functions as F
 
 OPEN, CLOSE = "### ", "</turn>"
-CONTROL = r"(\\*)(### |</turn>)"
-ESCAPED = r"\\(\\*)(### |</turn>)"
+# Tried at the first backslash of a run only, so a run is read once.
+CONTROL = r"(?<!\\)(\\*+)(### |</turn>)"
+ESCAPED = r"(?<!\\)\\(\\*+)(### |</turn>)"
 # The control string first, then what stands before it: most places fail at their first character.
 TOKEN = r"(?:### |</turn>)(?<!\\(?:### |</turn>))"
 ROLE_ESCAPES = [("\\", "\\b"), (":", "\\c"), ("#", "\\h"), ("<", "\\l")]
@@ -76,22 +77,66 @@ def parse(parts: Column) -> Column:
     return F.when(well_formed, F.transform(_bodies(parts), turn))
 
 
+# Numbers that are added up together, and code points that are looked up together.
+SUM_BLOCK, TEXT_BLOCK = 256, 1024
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def sums_before(numbers: Column) -> Column:
+    """For each number of an array the sum of all before it, block by block: no running array is copied for every number."""
+    add = lambda total, x: total + x
+    total = lambda some: F.aggregate(some, F.lit(0).cast("long"), add)
+
+    def blocked(all_numbers):
+        last = F.floor((F.size(all_numbers) - 1) / SUM_BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_numbers, k * SUM_BLOCK + 1, SUM_BLOCK))
+        start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<bigint>").alias("before"))
+        step = lambda s, block: F.struct(
+            (s["total"] + total(block)).alias("total"), F.concat(s["before"], F.array(s["total"])).alias("before")
+        )
+        inside = lambda block, before: F.transform(block, lambda _, i: before + total(F.slice(block, F.lit(1), i)))
+        with_bases = _bound(blocks, lambda parts: F.zip_with(parts, F.aggregate(parts, start, step, lambda s: s["before"]), inside))
+        return F.when(F.size(all_numbers) > 0, F.flatten(with_bases)).otherwise(F.array().cast("array<bigint>"))
+
+    return _bound(numbers, blocked)
+
+
 def loss_spans(parts: Column, role: str = "assistant") -> Column:
     """Code point spans (start, length) of the texts of one role, from the pieces of a formatted string."""
     around = len(OPEN) + len(CLOSE) + 1
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
 
-    def step(state, body):
+    def span(body, before):
         name = F.length(_role(body)) + 2
-        span = F.struct((state["at"] + len(OPEN) + name).alias("start"), (F.length(body) - name - 1).alias("length"))
         return F.struct(
-            (state["at"] + around + F.length(body)).alias("at"),
-            F.when(unescape_role(_role(body)) == role, F.concat(state["spans"], F.array(span)))
-            .otherwise(state["spans"])
-            .alias("spans"),
+            (before + len(OPEN) + name).cast("int").alias("start"),
+            (F.length(body) - name - 1).alias("length"),
+            (unescape_role(_role(body)) == role).alias("wanted"),
         )
 
-    return F.aggregate(_bodies(parts), start, step, lambda s: s["spans"])
+    def spans(bodies):
+        before = sums_before(F.transform(bodies, lambda body: (F.length(body) + around).cast("long")))
+        wanted = F.filter(F.zip_with(bodies, before, span), lambda s: s["wanted"])
+        return F.transform(wanted, lambda s: F.struct(s["start"], s["length"]))
+
+    return _bound(_bodies(parts), spans)
+
+
+def texts_at(text: Column, spans: Column) -> Column:
+    """The parts of a text at its spans; each is looked up in the few blocks it lies in."""
+    # Blocks of equally many code points.
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+
+    def part(s, cut):
+        first = F.floor(s["start"] / TEXT_BLOCK).cast("int")
+        last = F.floor((s["start"] + F.greatest(s["length"], F.lit(1)) - 1) / TEXT_BLOCK).cast("int")
+        around = F.array_join(F.slice(cut, first + 1, last - first + 1), "")
+        return F.substring(around, s["start"] - first * TEXT_BLOCK + 1, s["length"])
+
+    return _bound(blocks, lambda cut: F.transform(spans, lambda s: part(s, cut)))
 
 
 def format_conversations(
@@ -102,7 +147,9 @@ def format_conversations(
     Turns are ordered by turn (nulls first), then role, then text; repeated rows stay. A null text
     or role counts as empty, rows with a null conv_id form a conversation of their own. Other
     columns are ignored; an empty table gives no rows. One shuffle by conversation: a formatted
-    conversation is one string, so a conversation is the unit of work.
+    conversation is one string, so a conversation is the unit of work, and one (null ids together)
+    can hold what fits a task: at most 2 GB, Spark's limit of a string. Work grows with the length of a conversation
+    and of its texts, not with their squares.
     """
     clean = df.select(
         F.col(conv).alias("conv_id"),
@@ -138,10 +185,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     parts = formatted.withColumn("parts", pieces(F.col("formatted")))
     turns = parts.withColumn("turns", parse(F.col("parts")))
     each = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    masked = F.transform(
-        "loss_spans",
-        lambda s: unescape_text(F.substring(F.col("formatted"), s["start"] + 1, s["length"])),
-    )
+    masked = F.transform(texts_at(F.col("formatted"), F.col("loss_spans")), unescape_text)
     return turns.withColumn("loss", F.array_join(masked, "")).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

@@ -66,3 +66,39 @@ def test_long_texts_and_many_turns(spark):
 def test_parser_refuses_other_strings(spark, broken):
     df = spark.createDataFrame([(broken,)], "formatted string")
     assert df.select(chat_format.parse(chat_format.pieces(F.col("formatted")))).first()[0] is None
+
+
+def digests(df):
+    rows = chat_format.read_back(chat_format.format_conversations(df)).collect()
+    return {r.conv_id: r for r in rows}
+
+
+def test_two_hundred_thousand_turns(spark):
+    turns = spark.range(200_000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('é ### ', id) AS text")
+    row = digests(turns)[1]
+    want = "".join(f"é ### {i}" for i in range(1, 200_000, 2))
+    assert (row.n_turns, row.loss_chars) == (200_000, len(want))
+    assert row.loss_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_a_million_backslashes(spark):
+    run = "\\" * 1_000_000
+    texts = [run, run + "### ", run + "</turn>" + run, "x " + run + "y"]
+    rows = [(i, 0, "assistant", text) for i, text in enumerate(texts)]
+    got = digests(spark.createDataFrame(rows, SCHEMA))
+    for i, text in enumerate(texts):
+        assert got[i].loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
+def test_sums_before(spark, n):
+    df = spark.createDataFrame([([i * i for i in range(n)],)], "x array<long>")
+    want = [sum(i * i for i in range(k)) for k in range(n)]
+    assert df.select(chat_format.sums_before(F.col("x"))).first()[0] == want
+
+
+def test_texts_at_any_place(spark):
+    text = "aé😀\n" * 900
+    spans = [(0, 0), (0, 3600), (1023, 2), (1024, 1024), (3599, 1), (3600, 0), (500, 2500)]
+    df = spark.createDataFrame([(text, spans)], "t string, s array<struct<start:int,length:int>>")
+    assert df.select(chat_format.texts_at(F.col("t"), F.col("s"))).first()[0] == [text[a : a + n] for a, n in spans]
