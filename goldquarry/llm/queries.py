@@ -20,6 +20,7 @@ from goldquarry.llm import (
     toxicity,
     url_filter,
 )
+from goldquarry.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,7 +134,8 @@ def op6_url_filter(spark, sf_dir):
     name, verdict = url_filter.rule_columns(*url_filter.host_and_path(F.col("url")), URL_RULES)
     decided = pages.where(name.isNotNull()).select("url", (verdict == "block").cast("int").alias("label")).distinct()
     first = lambda label: decided.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(URL_SAMPLE // 2)
-    labelled = first(0).unionByName(first(1))
+    # Stored: the fit reads it in every step.
+    labelled = stage(first(0).unionByName(first(1)), "labelled-urls")
     return url_filter.judge_urls(pages, url_filter.fit_url_model(labelled), URL_RULES)
 
 
