@@ -95,6 +95,18 @@ def valid_responses(responses: DataFrame) -> DataFrame:
     return unique_rows(parsed, "request_key", last_by="answered_at")
 
 
+def parsed_answers(responses: DataFrame) -> DataFrame:
+    """(request_key, json, parse_status, answered_at) of the answers that hold an object, to be kept for later runs."""
+    parsed = extract_json(responses.where(F.col("error").isNull()), "raw_text")
+    return parsed.where(F.col("json").isNotNull()).select("request_key", "json", "parse_status", "answered_at")
+
+
+def newest_answers(answers: DataFrame) -> DataFrame:
+    """The newest of the parsed answers of each request; of a table bucketed by request_key nothing moves."""
+    newest = F.max_by(F.struct("json", "parse_status"), F.struct("answered_at", "json"))
+    return answers.groupBy("request_key").agg(newest.alias("a")).select("request_key", "a.*")
+
+
 def normalise_annotation(
     df: DataFrame, annotator: str, model: str, schema_version: str = fv.SCHEMA_VERSION
 ) -> DataFrame:
@@ -143,10 +155,12 @@ def annotate(
     refresh: bool = False,
     parallelism: int | None = None,
     store: Callable[[DataFrame], DataFrame] = lambda new: new,
+    answers: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(annotated items, new responses).
 
-    Items whose request is answered in `responses` are not asked again unless `refresh`. The
+    Items whose request is answered in `responses`, or in a table of parsed `answers` (see
+    `parsed_answers`; bucketed by request_key it is not shuffled), are not asked again unless `refresh`. The
     responder sees model, image_id, image_path, prompt, request_key, schema_version, response_schema
     (the JSON schema an answer is to follow) and, with `images` (image_path, content), the file content; over many items it is better to leave
     `images` out and let the responder open the path, as the content then need not be shuffled. Pass a `store` that writes the new
@@ -167,10 +181,13 @@ def annotate(
         F.lit(schema_version).alias("schema_version"),
         F.lit(response_schema()).alias("response_schema"),
     ).dropDuplicates(["request_key"])
-    cached = None
+    known = []
     if responses is not None and not refresh:
-        cached = valid_responses(responses)
-        # Request keys are distinct on both sides, so no key is hot.
+        known.append(valid_responses(responses).select("request_key", "json", "parse_status"))
+    if answers is not None and not refresh:
+        known.append(newest_answers(answers))
+    # Request keys are distinct on both sides, so no key is hot.
+    for cached in known:
         requests = requests.join(cached.select("request_key"), "request_key", "left_anti")
     if images is not None:
         requests = requests.join(images.select("image_path", "content"), "image_path", "left")
@@ -178,12 +195,18 @@ def annotate(
         "request_key", "image_id", "model", "schema_version", "raw_text", "error", F.current_timestamp().alias("answered_at")
     )
     new = store(new)
-    # Cached requests were not asked again, so every request has one answer.
-    answers = extract_json(new, "raw_text").select("request_key", "json", "parse_status")
-    if cached is not None:
-        answers = answers.unionByName(cached.select("request_key", "json", "parse_status"))
-    # A request key repeats only where an item does, so no key is hot.
-    joined = keyed.join(answers, "request_key", "left").drop("request_key")
+    # A request key repeats only where an item does, so no key is hot. Each table is joined by itself, so a bucketed
+    # one stays where it is. Requests with a kept answer were not asked again.
+    joined = keyed.join(extract_json(new, "raw_text").select("request_key", "json", "parse_status"), "request_key", "left")
+    for cached in known:
+        kept = cached.select("request_key", F.col("json").alias("_json"), F.col("parse_status").alias("_status"))
+        joined = joined.join(kept, "request_key", "left").withColumns(
+            {
+                "parse_status": F.when(F.col("json").isNull() & F.col("_json").isNotNull(), F.col("_status")).otherwise(F.col("parse_status")),
+                "json": F.coalesce("json", "_json"),
+            }
+        ).drop("_json", "_status")
+    joined = joined.drop("request_key")
     annotated = normalise_annotation(joined, annotator, model, schema_version)
     return annotated.drop("json").withColumnRenamed("parse_status", "annotation_status"), new
 

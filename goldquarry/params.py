@@ -17,6 +17,8 @@ class JobParams:
     max_curation_rows: int = 0
     max_augmentation_rows: int = 0
     max_eval_rows: int = 0
+    # Buckets that kept answers are dealt to by request; a folder keeps its number.
+    answer_buckets: int = 32
     force_refresh: bool = False
     coverage_min_count: int = fv.COVERAGE_MIN_COUNT
     n_queries: int = fv.QUERY_COUNT

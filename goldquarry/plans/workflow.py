@@ -14,8 +14,9 @@ from goldquarry.operators.joins import check_unique
 from goldquarry.operators.pixels import blurred_files, image_stats
 from goldquarry.operators.quality import describe, histogram, kept_dropped, quality_filter, quality_predicate
 from goldquarry.params import JobParams
-from goldquarry.schema import CURATED, GOLDEN, RESPONSES
+from goldquarry.schema import ANSWERS, CURATED, GOLDEN, RESPONSES
 from goldquarry.sources.artifacts import export_coverage, load_dataset, write_dataset, write_run
+from goldquarry.sources.buckets import append_buckets, read_buckets
 from goldquarry.sources.items import load_quarantine, load_splits
 from goldquarry.sources.paths import path_exists
 from goldquarry.sources.stages import store_stage
@@ -60,20 +61,28 @@ def curate(
         _stored(spark, params, "raw"), "drone_present", params.max_curation_rows, seed=params.seed
     )
     kept = f"{params.artifact_dir}/{params.annotator}_responses"
-    responses = spark.read.schema(RESPONSES).parquet(kept) if path_exists(spark, kept) else None
+    by_key = f"{params.artifact_dir}/{params.annotator}_answers"
+    answers = read_buckets(spark, by_key, ANSWERS, "request_key", params.answer_buckets)
+    if answers is None and path_exists(spark, kept):
+        # Responses of earlier runs are parsed and put into buckets once.
+        earlier = inference.parsed_answers(spark.read.schema(RESPONSES).parquet(kept))
+        append_buckets(earlier, by_key, ANSWERS, "request_key", params.answer_buckets)
+        answers = read_buckets(spark, by_key, ANSWERS, "request_key", params.answer_buckets)
     annotated, new = inference.annotate(
         items,
         responder,
         params.annotation_model,
         params.annotator,
-        responses,
+        None,
         images,
         refresh=params.force_refresh,
         parallelism=parallelism,
         store=lambda df: store_stage(df, "responses"),
+        answers=answers,
     )
     # Paid answers are kept before anything else can fail.
     new.where(F.col("error").isNull()).write.mode("append").parquet(kept)
+    append_buckets(inference.parsed_answers(new), by_key, ANSWERS, "request_key", params.answer_buckets)
     write_dataset(_in_schema(annotated, CURATED), params.artifact_dir, "curated")
     return _stored(spark, params, "curated")
 

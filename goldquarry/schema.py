@@ -66,6 +66,9 @@ RESPONSES = _struct(
     answered_at=T.TimestampType(),
 )
 
+# The object of an answer, kept by request.
+ANSWERS = _struct(request_key=_S, json=_S, parse_status=_S, answered_at=T.TimestampType())
+
 FRAME_RESULTS = _struct(
     model=_S,
     query_id=_S,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from goldquarry import schema
 from goldquarry.functions.text import cache_key, content_b64
 from goldquarry.operators import augment, curate, inference
+from goldquarry.sources.buckets import append_buckets, read_buckets
 from goldquarry.sources.stages import store_stage
 
 
@@ -197,3 +198,46 @@ def test_missing_content_is_a_failed_variant(spark):
     assert rows(out.where("not is_synthetic"), "image_id", "openai_augment_status") == [
         ("b__openai_fog", "failed: no content"), ("b__openai_night", "failed: no content")
     ]
+
+
+def test_bucketed_answers_stay_where_they_are(spark, tmp_path):
+    """A second run asks nothing again, and its plan shuffles the requests only, not the kept answers."""
+    keep = lambda new: append_buckets(inference.parsed_answers(new), str(tmp_path), schema.ANSWERS, "request_key", 4)
+    read = lambda: read_buckets(spark, str(tmp_path), schema.ANSWERS, "request_key", 4)
+    assert read() is None
+    _, first = inference.annotate(items(spark, "ab"), answer, "m", store=lambda df: store_stage(df, "r"))
+    keep(first)
+    never = lambda batch: ["nothing useful"] * len(batch)
+    out, new = inference.annotate(items(spark), never, "m", answers=read())
+    assert rows(new, "image_id") == [("c",), ("d",)]
+    assert rows(out, "image_id", "background", "annotation_status") == [
+        ("a", "sky", "ok"), ("b", "unknown", "ok"), ("c", "unknown", "no_object"), ("d", "unknown", "no_object"),
+    ]
+    # A later answer of the same request counts; files are added to the buckets.
+    other = lambda batch: ['{"background": "building"}'] * len(batch)
+    _, second = inference.annotate(items(spark, "a"), other, "m", answers=read(), refresh=True, store=lambda df: store_stage(df, "r"))
+    keep(second)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out, new = inference.annotate(items(spark, "ab"), never, "m", answers=read())
+        assert new.count() == 0
+        assert rows(out, "image_id", "background") == [("a", "building"), ("b", "unknown")]
+        plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*(0123456789)"))
+    # The tree of operators comes first, then their details.
+    lines = plan.split("\n\n")[0].splitlines()
+    scans = [i for i, line in enumerate(lines) if "buckets_" in line and "Scan" in line]
+    assert len(scans) == 2 and plan.count("Bucketed: true") == 2
+    for i in scans:
+        above, at = [], depth(lines[i])
+        for line in reversed(lines[:i]):
+            if depth(line) < at:
+                above.append(line)
+                at = depth(line)
+                if "Join" in line:
+                    break
+        assert "Join" in above[-1] and not any("Exchange" in line for line in above)
