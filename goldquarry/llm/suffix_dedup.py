@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from goldquarry.llm.blobs import DEALT, dealt, doc_bucket, pack_columns, packed_texts, unpack_columns
-from goldquarry.llm.common import parts_for, small_batches, stage
+from goldquarry.llm.common import freed_stage, parts_for, small_batches
 from goldquarry.llm.kernels import SLICE_BYTES, Rolling, U64, merged, mix, ranges, run_ends, sliding_min, text_slices
 from goldquarry.llm.run_index import RunIndex, ragged
 
@@ -475,15 +475,15 @@ def remove_repeats(docs: DataFrame, doc="doc_id", text="text", keep_columns=Fals
     size = ordered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = parts_for(docs, size, BUCKET_BYTES)
     cut = ordered.mapInArrow(_cut(buckets), DEALT)
-    met = stage(cut.groupBy("kind", "bucket").applyInArrow(_pass_or_meet(buckets), DEALT), "passages-met")
+    met = freed_stage(cut.groupBy("kind", "bucket").applyInArrow(_pass_or_meet(buckets), DEALT), "passages-met")
     by_doc = "doc_id long, crc long, rows binary"
     edges = met.where("kind = 'edges'").groupBy("bucket").applyInArrow(_by_doc(EDGE, OWN_EDGE), by_doc)
-    edges = stage(edges, "edges-by-document")
+    edges = freed_stage(edges, "edges-by-document")
     strings = packed_texts(ordered).join(edges, ["doc_id", "crc"])
     strings = strings.mapInArrow(_edge_strings(buckets), "kind string, bucket long, rows binary, strings binary")
     streamed = strings.groupBy("kind", "bucket").applyInArrow(_stream(buckets), DEALT)
     spans = met.where("kind = 'spans'").unionByName(streamed)
-    spans = stage(spans.groupBy("bucket").applyInArrow(_by_doc(SPAN, OWN_SPAN, _merge), by_doc), "spans-by-document")
+    spans = freed_stage(spans.groupBy("bucket").applyInArrow(_by_doc(SPAN, OWN_SPAN, _merge), by_doc), "spans-by-document")
     others = [c for c in docs.columns if keep_columns and c not in (doc, text, "doc_id", "text", *RESULT.names)]
     rest = [F.struct(*others).alias("rest")] if others else []
     full = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *rest)

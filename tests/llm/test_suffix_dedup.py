@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import brute
 import numpy as np
@@ -146,3 +147,15 @@ def test_windows_of_common_lines(spark, monkeypatch, often, very_common, held):
     docs = lines_in_all(200)
     df = spark.createDataFrame(docs, SCHEMA).repartition(4)
     assert result(suffix_dedup.remove_repeats(df)) == brute.without_repeats(docs)
+
+
+def test_shuffles_of_stored_stages_leave_the_disk(spark):
+    rng = random.Random(8)
+    line = "".join(rng.choices("abcdefgh ", k=120))
+    docs = [(i, line[: 60 + i] + "".join(rng.choices("abcdefgh ", k=80))) for i in range(40)]
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: set(re.findall(r"shuffle_\w+\.data", blocks.getAllFiles().mkString(" ")))
+    before = shuffled()
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(docs, SCHEMA).repartition(3))
+    assert not shuffled() - before
+    assert result(found) == brute.without_repeats(docs)
