@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 
@@ -152,10 +153,11 @@ def test_windows_of_common_lines(spark, monkeypatch, often, very_common, held):
 def test_shuffles_of_stored_stages_leave_the_disk(spark):
     rng = random.Random(8)
     line = "".join(rng.choices("abcdefgh ", k=120))
-    docs = [(i, line[: 60 + i] + "".join(rng.choices("abcdefgh ", k=80))) for i in range(40)]
+    docs = [(i, line[: 60 + i % 60] + "".join(rng.choices("abcdefgh ", k=400))) for i in range(200)]
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    shuffled = lambda: set(re.findall(r"shuffle_\w+\.data", blocks.getAllFiles().mkString(" ")))
+    shuffled = lambda: {p for p in blocks.getAllFiles().mkString("\n").split() if re.search(r"/shuffle_\w+\.data$", p)}
     before = shuffled()
-    found = suffix_dedup.remove_repeats(spark.createDataFrame(docs, SCHEMA).repartition(3))
-    assert not shuffled() - before
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(docs, SCHEMA))
+    # What stays is the sum of the texts' lengths, a number from each task.
+    assert sum(os.path.getsize(p) for p in shuffled() - before if os.path.exists(p)) < 2000
     assert result(found) == brute.without_repeats(docs)
